@@ -50,17 +50,14 @@ def parse_payload(payload: Column) -> Column:
     return F.from_json(framed, _FRAME, _JSON)
 
 
-def is_whole_payload(payload: Column, items: Column, closed: Column) -> Column:
-    """True when the payload is one JSON value and nothing else.
+def is_bracket_safe(payload: Column) -> Column:
+    """False for a payload that itself closes the frame's bracket and opens another.
 
-    A payload that itself closes the frame's bracket and opens another could still pass the frame,
-    so a payload with a ``]`` in it is also read in a frame without a bracket.
+    Only a payload with a ``]`` can do that; it is read again in a frame without a bracket.
     """
-    object_frame = F.from_json(
-        F.concat(F.lit('{"item":'), payload, F.lit(',"closed":true}')), "closed boolean", _JSON
-    )
-    bracket_safe = F.when(payload.contains("]"), F.coalesce(object_frame["closed"], F.lit(False))).otherwise(True)
-    return closed & (F.size(items) == 1) & bracket_safe
+    framed = F.concat(F.lit('{"item":'), payload, F.lit(',"closed":true}'))
+    closed = F.from_json(framed, "closed boolean", _JSON)["closed"]
+    return F.when(payload.contains("]"), F.coalesce(closed, F.lit(False))).otherwise(True)
 
 
 def is_truthy(payload: Column, name: str, text: Column) -> Column:

@@ -48,17 +48,23 @@ def clean_events(
     # optimizer would copy them into the filter below, once per use, and parse again.
     needs_event_day = check_time or day_mode == "event"
     event_day = chatlog.event_day(F.col("time")) if needs_event_day else F.lit(None).cast("date")
-    parsed = F.struct(chatlog.parse_payload(F.col("payload")).alias("frame"), event_day.alias("event_day"))
+    payload = F.col("payload")
+    parsed = F.struct(
+        chatlog.parse_payload(payload).alias("frame"),
+        chatlog.is_bracket_safe(payload).alias("bracket_safe"),
+        event_day.alias("event_day"),
+    )
     requests = requests.select("*", F.inline(F.array(parsed)))
 
     item = field(F.col("frame.items"), 0)
     bot_name, user_id = item["bot_name"], item["user_id"]
-    payload = F.col("payload")
     kept = requests.where(
         chatlog.is_truthy(payload, "bot_name", bot_name)
         & chatlog.is_truthy(payload, "user_id", user_id)
         & ~chatlog.is_test_user(user_id, ignore_case)
-        & chatlog.is_whole_payload(payload, F.col("frame.items"), F.col("frame.closed"))
+        & F.col("frame.closed")
+        & (F.size("frame.items") == 1)
+        & F.col("bracket_safe")
     )
     if check_time:
         kept = kept.where(F.col("event_day").isNotNull())

@@ -29,10 +29,8 @@ QPS_PRODUCT = _struct("product string, day date, second string, requests bigint"
 DIM_BOT = _struct("type string, bot_name string")
 
 # Rows as the jobs append them (see sources/deltas.py); the KPI tables are read-time aggregates.
-PV_DELTA = PV_DAY
 QPS_DELTA = _struct("product string, bot_name string, day date, second string, requests bigint")
-USERS_DAY_DELTA = USERS_DAY
 FIRST_SEEN_DELTA = _struct("bot_name string, user_id string, day date, arrived timestamp")
-HISTORY_DELTA = PV_TOTAL
 
+WORD_COUNTS = _struct("word string, cnt bigint")
 PEOPLE_TEXT = _struct("name string, age string")

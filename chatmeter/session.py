@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,12 +50,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(spark: SparkSession, df, name: str):
+def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a scratch table and read it back.
 
     The copy survives lost executors, is computed once however often it is read, and has a real
     size, so that the planner broadcasts it only when it is under the broadcast threshold.
     """
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
