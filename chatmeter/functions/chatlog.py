@@ -24,10 +24,11 @@ _TIME = (
     r"(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:(?:6[01]|[0-5]?[0-9])\z"
 )
 
-# The two fields wanted, inside a frame that shows where the payload really ended.
-_FRAME = "items array<struct<bot_name: string, user_id: string>>, closed boolean"
+_FIELDS = "bot_name string, user_id string"
 # Python's parser takes double quotes only.
 _JSON = {"allowSingleQuotes": "false"}
+# Fixed value: what JSON counts as white space.
+JSON_BLANKS = " \t\n\r"
 
 # How `from_json` prints the JSON values that Python counts as false.
 _FALSY_TEXT = ("0", "-0", "0.0", "-0.0", "false", "[]", "{}")
@@ -41,23 +42,26 @@ def event_day(time_text: Column) -> Column:
 
 
 def parse_payload(payload: Column) -> Column:
-    """Read the payload in one parse, framed as ``{"items":[<payload>],"closed":true}``.
+    """``struct<bot_name, user_id>`` of a payload without outer blanks; null unless it is one JSON object.
 
-    ``from_json`` alone stops at the end of the first value and ignores what follows. In the frame,
-    anything after that value either breaks the syntax or shows up as a second item.
+    Text that cannot be an object is not parsed: a failed parse costs many times a good one.
     """
-    framed = F.concat(F.lit('{"items":['), payload, F.lit('],"closed":true}'))
-    return F.from_json(framed, _FRAME, _JSON)
+    looks_like_object = payload.startswith("{") & payload.endswith("}")
+    return F.when(looks_like_object & _is_single(payload), F.from_json(payload, _FIELDS, _JSON))
 
 
-def is_bracket_safe(payload: Column) -> Column:
-    """False for a payload that itself closes the frame's bracket and opens another.
+def _is_single(payload: Column) -> Column:
+    """Nothing follows the first object, where ``from_json`` stops and ignores the rest.
 
-    Only a payload with a ``]`` can do that; it is read again in a frame without a bracket.
+    That is plain when the only closing brace is the last character. Otherwise the payload must be
+    the only element of an array, and, as one with a ``]`` could close that array itself, then
+    also a member of an object.
     """
-    framed = F.concat(F.lit('{"item":'), payload, F.lit(',"closed":true}'))
-    closed = F.from_json(framed, "closed boolean", _JSON)["closed"]
-    return F.when(payload.contains("]"), F.coalesce(closed, F.lit(False))).otherwise(True)
+    is_flat = F.instr(payload, "}") == F.length(payload)
+    is_only_element = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]"))) == 1
+    member = F.from_json(F.concat(F.lit('{"item":'), payload, F.lit(',"closed":true}')), "closed boolean", _JSON)
+    is_member = ~payload.contains("]") | F.coalesce(member["closed"], F.lit(False))
+    return is_flat | (is_only_element & is_member)
 
 
 def is_truthy(payload: Column, name: str, text: Column) -> Column:

@@ -30,41 +30,33 @@ def clean_events(
         raise ValueError(f"day_mode must be 'event' or 'processing', not {day_mode!r}")
     product = chatlog.product_of(F.col("topic")) if "topic" in lines.columns else F.lit(None).cast("string")
 
+    # Generator output is evaluated once per row and stays where it is. As plain columns, the split
+    # and the parse would be copied into the filters, once per use, and done again each time.
     # The payload is the fourth field; a limit of five leaves any later text unsplit.
     fields = F.col("fields")
     requests = (
-        lines.select(product.alias("product"), F.split("value", "\t", 5).alias("fields"))
+        lines.select(product.alias("product"), F.explode(F.array(F.split("value", "\t", 5))).alias("fields"))
         .where(F.size(fields) > chatlog.PAYLOAD_FIELD)
         .where(field(fields, chatlog.KIND_FIELD) == chatlog.REQUEST_KIND)
         .select(
             "product",
             field(fields, chatlog.TIME_FIELD).alias("raw_time"),
             strip(field(fields, chatlog.TIME_FIELD)).alias("time"),
-            field(fields, chatlog.PAYLOAD_FIELD).alias("payload"),
+            F.btrim(field(fields, chatlog.PAYLOAD_FIELD), F.lit(chatlog.JSON_BLANKS)).alias("payload"),
         )
     )
 
-    # As generator output, the JSON and the time are evaluated once per row. As plain columns the
-    # optimizer would copy them into the filter below, once per use, and parse again.
+    payload = F.col("payload")
     needs_event_day = check_time or day_mode == "event"
     event_day = chatlog.event_day(F.col("time")) if needs_event_day else F.lit(None).cast("date")
-    payload = F.col("payload")
-    parsed = F.struct(
-        chatlog.parse_payload(payload).alias("frame"),
-        chatlog.is_bracket_safe(payload).alias("bracket_safe"),
-        event_day.alias("event_day"),
-    )
+    parsed = F.struct(chatlog.parse_payload(payload).alias("item"), event_day.alias("event_day"))
     requests = requests.select("*", F.inline(F.array(parsed)))
 
-    item = field(F.col("frame.items"), 0)
-    bot_name, user_id = item["bot_name"], item["user_id"]
+    bot_name, user_id = F.col("item.bot_name"), F.col("item.user_id")
     kept = requests.where(
         chatlog.is_truthy(payload, "bot_name", bot_name)
         & chatlog.is_truthy(payload, "user_id", user_id)
         & ~chatlog.is_test_user(user_id, ignore_case)
-        & F.col("frame.closed")
-        & (F.size("frame.items") == 1)
-        & F.col("bracket_safe")
     )
     if check_time:
         kept = kept.where(F.col("event_day").isNotNull())
