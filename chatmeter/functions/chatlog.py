@@ -84,4 +84,5 @@ def is_test_user(user_id: Column, ignore_case: bool = True) -> Column:
 
 def product_of(topic: Column) -> Column:
     """Product line of a topic: the topic name without its prefix."""
-    return F.regexp_replace(topic, f"^{TOPIC_PREFIX}", "")
+    rest = F.substring(topic, len(TOPIC_PREFIX) + 1, 1_000)
+    return F.when(topic.startswith(TOPIC_PREFIX), rest).otherwise(topic)

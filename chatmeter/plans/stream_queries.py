@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chatmeter.operators import kpi
 from chatmeter.plans import registry as r
 from chatmeter.plans.registry import query
-from chatmeter.schema import USERS_DAY, WORD_COUNTS
+from chatmeter.schema import WORD_COUNTS
 from chatmeter.session import ROCKSDB, scratch_dir
 from chatmeter.sources import deltas, testtables
 from chatmeter.sources.readers import as_lines, stream_lines, stream_table
@@ -51,12 +51,13 @@ def stream_new_users(spark, sf_dir):
 
 @query(r.STRICT + "SELECT DISTINCT bot_name, day, user_id FROM strict")
 def stream_users_day(spark, sf_dir):
-    """With the seen users in the state store."""
+    """With the seen users in the state store; the table has each once without a distinct."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     root = scratch_dir(spark, "stream_users_day")
+    store = KpiStore(spark, f"{root}/tables")
     lines = _line_stream(spark, sf_dir)
-    pipeline.start_users_day(lines, f"{root}/out", f"{root}/checkpoint", trigger=pipeline.ONCE).awaitTermination()
-    return spark.read.schema(USERS_DAY).parquet(f"{root}/out")
+    pipeline.start_users_day(lines, store, f"{root}/checkpoint", "users", trigger=pipeline.ONCE).awaitTermination()
+    return store.rows("users_day")
 
 
 @query(

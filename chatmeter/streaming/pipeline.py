@@ -105,17 +105,24 @@ def start_kpis(
 
 
 def start_users_day(
-    lines: DataFrame, out: str, checkpoint: str, trigger: dict = EVERY_SECOND, **cleaning
+    lines: DataFrame, store: KpiStore, checkpoint: str, source: str, trigger: dict = EVERY_SECOND, **cleaning
 ) -> StreamingQuery:
-    """Users of each day, each written once, with the seen ones in the state store.
+    """Users of each day, each written once in all, with the seen ones in the state store.
+
+    A running aggregate combines on the map side before it meets the state, so a user with a large
+    share of the requests costs one row per task; ``dropDuplicates`` would send all those rows to
+    one task. First and last arrival are the same exactly in the batch that brings a user.
 
     The state holds every (bot, day, user) for good, hashed over the shuffle partitions, so give
     it the RocksDB provider, as ``local_session`` does. ``write_users`` needs no state.
     """
-    users = clean_events(lines, **cleaning).select("bot_name", "day", "user_id")
-    first = users.dropDuplicates(["bot_name", "day", "user_id"])
-    writer = first.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start(out)
+    visits = cleaned(lines, **cleaning).groupBy("bot_name", "day", "user_id")
+    arrivals = visits.agg(F.min("arrived").alias("first"), F.max("arrived").alias("last"))
+
+    def action(batch: DataFrame, batch_id: int) -> None:
+        store.append("users_day", batch.where(F.col("first") == F.col("last")), source, batch_id)
+
+    return per_batch(arrivals, action, checkpoint).outputMode("update").trigger(**trigger).start()
 
 
 def start_word_count(lines: DataFrame, table: str, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:

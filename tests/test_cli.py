@@ -1,0 +1,44 @@
+"""The command line runs the jobs on a store."""
+
+import datetime as dt
+
+from chatmeter.__main__ import run
+from chatmeter.sources.store import KpiStore
+
+D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+
+
+def log(bot, user, day):
+    return f'{day} 10:00:00\tREQ\tx\t{{"bot_name":"{bot}","user_id":"{user}"}}\n'
+
+
+def test_jobs_by_command(spark, rows, tmp_path):
+    folder, root = tmp_path / "in/topic=chatlog_adult", str(tmp_path / "store")
+    folder.mkdir(parents=True)
+    (folder / "a.log").write_text(log("a", "u1", D1) + log("b", "u2", D2))
+    (tmp_path / "x.tsv").write_text("1\ta\n2\tc\n")
+    spark.createDataFrame([("children", "b")], "type string, bot_name string").write.parquet(str(tmp_path / "dim"))
+    store = KpiStore(spark, root)
+
+    run(spark, ["backfill-days", root, str(folder), "--job", "first"])
+    run(spark, ["rebuild-history", root, str(tmp_path / "x.tsv"), "--job", "extract"])
+    run(spark, ["merge-history", root])
+    assert rows(store.pv_total()) == [("a", 2), ("b", 1), ("c", 1)]
+    assert rows(store.new_users_day()) == [("a", D1, "u1"), ("b", D2, "u2")]
+
+    stream = ["stream", root, "--source", "s", "--checkpoint", str(tmp_path / "c"), "--folder", str(tmp_path / "in")]
+    run(spark, [*stream, "--every", "once"])
+    assert rows(store.pv_total()) == [("a", 3), ("b", 2), ("c", 1)]
+    assert rows(store.qps_product()) == [
+        ("adult", D1, "2024-01-01 10:00:00", 1), ("adult", D2, "2024-01-02 10:00:00", 1),
+    ]
+    run(spark, ["compact", root, "s"])
+
+    into = str(tmp_path / "rolled")
+    run(spark, ["rollback-day", root, "2024-01-02", into, "--dimension", str(tmp_path / "dim"), "--type", "children"])
+    assert rows(store.with_table("first_seen", into).users_total()) == [("a", "u1")]
+    run(spark, ["purge-pv", root, str(tmp_path / "purged"), "a", "c"])
+    assert rows(store.with_table("pv_total", str(tmp_path / "purged")).pv_total()) == [("b", 2)]
+    run(spark, ["publish", root, str(tmp_path / "out"), "--table", f"first_seen={into}"])
+    assert rows(spark.read.parquet(str(tmp_path / "out/users_total"))) == [("a", "u1")]
+    assert rows(store.users_total()) == [("a", "u1"), ("b", "u2")]

@@ -10,7 +10,7 @@ from chatmeter.operators import kpi
 from chatmeter.operators.clean import clean_events
 from chatmeter.operators.generic import explode_words, word_count
 from chatmeter.plans import jobs
-from chatmeter.schema import USERS_DAY, WORD_COUNTS
+from chatmeter.schema import WORD_COUNTS
 from chatmeter.sources import deltas
 from chatmeter.sources.readers import read_lines, stream_lines
 from chatmeter.sources.sinks import to_console
@@ -177,15 +177,15 @@ def test_rollback_lets_a_stream_find_the_user_again(spark, feed, rows, tmp_path)
 
 
 def test_state_store_users_of_a_day(spark, feed, rows, tmp_path):
-    folder = feed(FILES)
+    store = KpiStore(spark, str(tmp_path / "store"))
+    folder = feed(FILES[:2])
     for _ in range(2):
         lines = stream_lines(spark, folder, max_files=1)
-        query = pipeline.start_users_day(
-            lines, str(tmp_path / "out"), str(tmp_path / "checkpoint"), trigger=pipeline.ONCE
-        )
+        query = pipeline.start_users_day(lines, store, str(tmp_path / "checkpoint"), "users", trigger=pipeline.ONCE)
         query.awaitTermination()
-    got = rows(spark.read.schema(USERS_DAY).parquet(str(tmp_path / "out")))
-    assert got == rows(kpi.users_day(clean_events(spark.read.text(folder))))
+        got = rows(store.rows("users_day"))
+        assert got == rows(kpi.users_day(clean_events(spark.read.text(folder))))
+        feed(FILES)
 
 
 def test_word_counts_are_per_batch(spark, rows, tmp_path):
