@@ -52,7 +52,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("into", help="new folder for the corrected table")
         sub.add_argument("bots", nargs="*")
     command("publish", "write the KPI tables for readers").add_argument("out")
-    command("compact", "fold the micro-batches of a source into one").add_argument("source")
+    compact = command("compact", "fold the micro-batches of a source into one")
+    compact.add_argument("source")
+    compact.add_argument("--recent", action="store_true", help="only those not folded before")
     stream = command("stream", "count the requests of topics, or of files in a folder")
     stream.add_argument("--source", required=True, help="name of the stream, the same over restarts")
     stream.add_argument("--checkpoint", required=True)
@@ -81,7 +83,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     elif args.command == "publish":
         jobs.publish(store, args.out)
     elif args.command == "compact":
-        store.compact(args.source)
+        store.compact(args.source, args.recent)
     elif args.command == "stream":
         lines = stream_lines(spark, args.folder) if args.folder else stream_kafka(spark, args.brokers, args.topics)
         trigger = pipeline.ONCE if args.every == "once" else {"processingTime": args.every}

@@ -74,13 +74,17 @@ def compact(
     source: str,
     schema: T.StructType,
     fold: Callable[[DataFrame], DataFrame],
+    recent: bool = False,
 ) -> int:
     """Fold the finished folders of one job into one and return how many there were.
 
-    ``fold`` must keep the table's meaning: the aggregate of the folded rows is that of the rows.
+    ``recent`` leaves out what was folded before, so that a frequent run need not rewrite the whole
+    table. ``fold`` must keep the table's meaning: the aggregate of the folded rows is that of the rows.
     The folded rows are rebalanced, so that the files come out even however skewed the keys are.
     """
     live = {key: path for key, path in _live(spark, table).items() if key[0] == source}
+    if recent:
+        live = {key: path for key, path in live.items() if key[1] == key[2]}
     if len(live) > 1:
         first, last = min(key[1] for key in live), max(key[2] for key in live)
         rows = spark.read.schema(schema).parquet(*sorted(live.values()))

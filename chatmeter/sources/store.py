@@ -59,9 +59,9 @@ class KpiStore:
         taken_back = others.join(fresh, "bot_name", "left_semi").withColumn("pv", -F.col("pv"))
         self.append("pv_history", fold(fresh.select("bot_name", "pv").unionByName(taken_back)), source, batch)
 
-    def compact(self, source: str) -> None:
+    def compact(self, source: str, recent: bool = False) -> None:
         for table, (columns, fold) in self.TABLES.items():
-            deltas.compact(self.spark, self.path(table), source, columns, fold)
+            deltas.compact(self.spark, self.path(table), source, columns, fold, recent)
 
     def vacuum(self) -> None:
         for table in self.TABLES:

@@ -70,6 +70,17 @@ def test_compaction_changes_nothing_but_the_folders(spark, store, rows):
     assert rows(store.pv_total()) == want + [("c", 5)]
 
 
+def test_compaction_of_recent_folders_leaves_the_older_ones(spark, store, rows):
+    for batch in range(6):
+        store.append("pv_total", pv(spark, ("a", 1)), "s", batch)
+        if batch == 2:
+            store.compact("s")
+    store.compact("s", recent=True)
+    store.vacuum()
+    assert sorted(deltas.committed(spark, store.path("pv_total"))) == [("s", 0, 2), ("s", 3, 5)]
+    assert rows(store.pv_total()) == [("a", 6)]
+
+
 def test_an_unfinished_folder_is_not_read(spark, store, rows, tmp_path):
     store.append("pv_total", pv(spark, ("a", 1)), "s", 0)
     store.append("pv_total", pv(spark, ("a", 2)), "s", 1)
