@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,7 +120,9 @@ def sql_eq_in(spark, sf_dir):
 @query("SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part ORDER BY p_partkey LIMIT 1")
 def catalog_limit(spark, sf_dir):
     """A catalog table over the given files."""
-    name = f"chatmeter_part_{uuid.uuid4().hex[:8]}"
-    spark.catalog.createTable(name, path=f"{sf_dir}/part.parquet", source="parquet")
+    path = f"{sf_dir}/part.parquet"
+    name = f"chatmeter_part_{zlib.crc32(path.encode()):08x}"
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
     columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
     return generic.first_rows(read_table(spark, name).select(*columns), ["p_partkey"])

@@ -1,6 +1,9 @@
 """Cleaning rules, line by line, in the three strictnesses."""
 
 import datetime as dt
+import json
+import random
+import time
 
 import pytest
 
@@ -201,3 +204,69 @@ def test_line_is_split_and_parsed_once(spark, capsys):
     plan = capsys.readouterr().out
     assert plan.count("from_json(StructField(bot_name,StringType,true), StructField(user_id,StringType,true)") == 1
     assert plan.count("split(value") == 1
+
+
+def test_damaged_payloads_are_judged_as_by_the_json_module(spark):
+    """Thousands of payloads with characters inserted, dropped or doubled."""
+    rng = random.Random(42)
+    bases = [
+        OK,
+        '{"q":{"a":[1,{"b":"}]"}]},"bot_name":"b","user_id":"u"}',
+        '{"bot_name":"b","q":[],"user_id":"u","r":[{"k":-1.5e3},null,true]}',
+        '{"user_id":12,"bot_name":"b","q":"\\\\u0041\\\\n"}',
+    ]
+    payloads = set()
+    while len(payloads) < 8000:
+        text = list(rng.choice(bases))
+        for _ in range(rng.randint(1, 2)):
+            at, what = rng.randrange(len(text) + 1), rng.random()
+            if what < 0.6:
+                text.insert(at, rng.choice('{}[]",:\\ 01-.eEnt'))
+            elif what < 0.8 and at < len(text):
+                del text[at]
+            else:
+                text += rng.choice(["}", "]", ",", "{}", "[]", '"', '],"k":[{}', '},{"a":{}', " ", OK])
+        payloads.add("".join(text))
+
+    def is_kept(payload):
+        try:
+            value = json.loads(payload)
+        except ValueError:
+            return False
+        return isinstance(value, dict) and bool(value.get("bot_name")) and bool(value.get("user_id"))
+
+    data = [(payload, line(payload)) for payload in payloads]
+    kept = {row.product for row in clean_events(spark.createDataFrame(data, "topic string, value string")).collect()}
+    expected = {payload for payload in payloads if is_kept(payload)}
+    assert len(expected) > 500
+    assert kept - expected == set()
+    assert expected - kept == set()
+
+
+def test_damaged_times_are_judged_as_by_strptime(spark):
+    rng = random.Random(7)
+    bases = [T, "2020-02-29 23:59:59", "1999-12-31 0:0:0", "2019-4-8 1:2:3", "2100-02-28 09:08:07"]
+    times = set()
+    while len(times) < 8000:
+        text = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 2)):
+            at, what = rng.randrange(len(text) + 1), rng.random()
+            if what < 0.4:
+                text.insert(at, rng.choice("0123456789-:. \xa0　\x0bT"))
+            elif at < len(text):
+                text[at : at + 1] = rng.choice("0123456789") if what < 0.8 else ""
+        times.add("".join(text))
+
+    expected = {}
+    for text in times:
+        try:
+            parsed = time.strptime(text.strip(), "%Y-%m-%d %H:%M:%S")
+        except ValueError:
+            continue
+        expected[text] = dt.date(*parsed[:3])
+    assert len(expected) > 1000
+    data = [(text, line(time=text)) for text in times]
+    kept = clean_events(spark.createDataFrame(data, "topic string, value string")).collect()
+    got = {row.product: row.day for row in kept}
+    assert {k: v for k, v in got.items() if expected.get(k) != v} == {}
+    assert {k: v for k, v in expected.items() if got.get(k) != v} == {}

@@ -114,8 +114,8 @@ def test_kafka_options():
 
 
 def test_dimension_options():
-    options = readers.dimension_options("jdbc:mysql://h/db", "tb_log_botname", "u", "p", "type, botname AS bot_name")
-    assert options["dbtable"] == "(SELECT type, botname AS bot_name FROM tb_log_botname) AS dimension"
+    options = readers.dimension_options("jdbc:mysql://h/db", "bots", "u", "p", "type, botname AS bot_name")
+    assert options["dbtable"] == "(SELECT type, botname AS bot_name FROM bots) AS dimension"
     assert options["pushDownPredicate"] == "true"
     assert readers.dimension_options("x", "t", "u", "p")["dbtable"] == "t"
 

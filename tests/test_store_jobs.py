@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from chatmeter.operators import maintain
 from chatmeter.plans import jobs
 from chatmeter.schema import PV_TOTAL
 from chatmeter.sources import deltas
@@ -188,3 +189,30 @@ def test_publish_writes_one_folder_per_day(spark, store, write, rows, tmp_path):
     assert rows(new, "bot_name", "day", "user_id") == rows(store.new_users_day())
     assert {p.name for p in (tmp_path / "published/new_users_day").glob("day=*")} == {"day=2024-01-01", "day=2024-01-02"}
     assert rows(spark.read.parquet(f"{out}/pv_total")) == [("a", 2)]
+
+
+def test_a_rollback_reads_one_day_of_the_published_table(spark, store, write, tmp_path, capsys):
+    jobs.backfill_days(store, write("a.log", log("a", "u1"), log("a", "u2", "2024-01-02")), "first")
+    jobs.publish(store, str(tmp_path / "published"))
+    new = spark.read.parquet(str(tmp_path / "published/new_users_day"))
+    maintain.users_to_roll_back(new, "2024-01-02").explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(day" in plan and "= 2024-01-02)]" in plan
+
+
+def test_a_backfill_scans_its_text_once(spark, store, write, monkeypatch):
+    """Page views and users are both filled from the one scratch table."""
+    scans = []
+    read = jobs.read_lines
+    monkeypatch.setattr(jobs, "read_lines", lambda *args: scans.append(args) or read(*args))
+    seen = []
+    append = KpiStore.append
+
+    def note(self, table, df, *rest):
+        seen.append((table, [path for path in df.inputFiles() if path.endswith(".log")]))
+        append(self, table, df, *rest)
+
+    monkeypatch.setattr(KpiStore, "append", note)
+    jobs.backfill_days(store, write("a.log", log("a", "u1")), "first")
+    assert len(scans) == 1
+    assert seen == [("first_seen", []), ("pv_total", [])]
