@@ -7,7 +7,8 @@ at most its last batch, under the same number, and so replaces what that batch h
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -39,11 +40,20 @@ def cleaned(lines: DataFrame, **options) -> DataFrame:
 # --- what one micro-batch writes ----------------------------------------------------------------
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` in memory, or on disk where that is short, while several tables are written from it."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def write_pv(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
-    by_day = kpi.pv_day(requests).persist()
-    store.append("pv_day", by_day, source, batch)
-    store.append("pv_total", by_day.groupBy("bot_name").agg(F.sum("pv").alias("pv")), source, batch)
-    by_day.unpersist()
+    with kept(kpi.pv_day(requests)) as by_day:
+        store.append("pv_day", by_day, source, batch)
+        store.append("pv_total", by_day.groupBy("bot_name").agg(F.sum("pv").alias("pv")), source, batch)
 
 
 def write_qps(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
@@ -64,20 +74,16 @@ def write_new_users(store: KpiStore, requests: DataFrame, source: str, batch: in
 
 def write_users(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
     visits = requests.groupBy("bot_name", "day", "user_id").agg(F.min("arrived").alias("arrived"))
-    visits = visits.persist(StorageLevel.MEMORY_AND_DISK)
-    store.append("users_day", visits, source, batch)
-    write_new_users(store, visits, source, batch)
-    visits.unpersist()
+    with kept(visits) as visits:
+        store.append("users_day", visits, source, batch)
+        write_new_users(store, visits, source, batch)
 
 
 def write_all(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
     """All tables from one cleaned batch, which is parsed once and kept for the three branches."""
-    requests = requests.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept(requests) as requests:
         for write in (write_pv, write_qps, write_users):
             write(store, requests, source, batch)
-    finally:
-        requests.unpersist()
 
 
 # --- queries ------------------------------------------------------------------------------------
