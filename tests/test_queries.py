@@ -7,7 +7,7 @@ import __spark_entry__ as entry_point
 
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings
 pages benchmark labels conversations""".split()
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+from chatmeter.plans.registry import QUERIES, SQL  # noqa: E402  (those registered outside the training-data package)
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,8 @@ def duck(sf_dir):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
