@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import packing, simhash, tokens
+from chatmeter.llm import packing, simhash, tokens, toxicity
 from chatmeter.llm.tables import documents
 
 QUERIES: dict = {}
@@ -26,3 +26,15 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), tokens.vocabulary_path(), capacity=4096)
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs.select("doc_id", "text"), model, ["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
