@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import packing, simhash, tokens, toxicity
+from chatmeter.llm import licenses, packing, secrets, simhash, tokens, toxicity
 from chatmeter.llm.tables import documents
 
 QUERIES: dict = {}
@@ -38,3 +38,39 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = secrets.scanned(docs, secrets.learn(docs), ["doc_id"])
+
+    def number(kind: str):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    base = F.filter("found", lambda x: x["kind"] != "format")
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        number("format").alias("n_format"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
+
+
+@query
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scanned(documents(spark, sf_dir), ["doc_id"])
+    span = F.transform("spans", lambda x: F.concat_ws(":", x["label"], x["start"], x["end"], x["edits"]))
+    return found.select(
+        *["doc_id", "n_words", "n_base", "first_word", "last_word"],
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.array_join(span, ",").alias("spans"),
+    )
