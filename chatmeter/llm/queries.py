@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import licenses, packing, secrets, simhash, tokens, toxicity
+from chatmeter.llm import licenses, packing, secrets, sharding, simhash, tokens, toxicity
 from chatmeter.llm.tables import documents
 
 QUERIES: dict = {}
@@ -74,3 +74,11 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.array_join(span, ",").alias("spans"),
     )
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shards(documents(spark, sf_dir), number=8)
+    return found.select(
+        *["doc_id", "size", "text_crc32"], F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
