@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import licenses, packing, secrets, sharding, simhash, tokens, toxicity
+from chatmeter.llm import licenses, mixing, packing, secrets, sharding, simhash, tokens, toxicity
 from chatmeter.llm.tables import documents
 
 QUERIES: dict = {}
@@ -82,3 +82,35 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         *["doc_id", "size", "text_crc32"], F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    total = docs.agg(F.sum(mixing.tokens_by_bytes(F.col("text")))).first()[0]
+    return mixing.counted(docs, mixing.Target(entropy=0.97, budget=total or 0))
+
+
+SQL["op2_source_mixing"] = """
+WITH docs AS (
+  SELECT doc_id, source, (strlen(text) + 3) // 4 AS tokens,
+    CAST('0x' || substr(md5('mix:' || doc_id), 1, 8) AS BIGINT) % 1024 AS block FROM documents),
+blocks AS (SELECT source, block, sum(tokens) AS n FROM docs GROUP BY ALL),
+sources AS (SELECT source, sum(n) AS s, sum(n) / sum(sum(n)) OVER () AS p, sum(sum(n)) OVER () AS total FROM blocks GROUP BY source),
+sums AS (
+  SELECT k, sum(pow(p, k / 65536)) AS z, sum(pow(p, k / 65536) * ln(p)) AS zl, count(*) AS number
+  FROM sources, range(65537) AS g(k) GROUP BY k),
+chosen AS (SELECT max_by(z, k) AS z, max(k) AS k FROM sums WHERE ln(z) - k / 65536 * zl / z >= 0.97 * ln(number)),
+wanted AS (
+  SELECT source, s, round(pow(p, k / 65536) / z * total / s, 9) AS passes FROM sources, chosen),
+turns AS (
+  SELECT source, block, n, s, passes, epoch, sum(n) OVER (PARTITION BY source, epoch
+    ORDER BY CAST('0x' || substr(md5('mix:' || epoch || ':=' || source || ':' || block), 1, 8) AS BIGINT), block) - n AS before
+  FROM (SELECT *, unnest(range(CAST(floor(passes) AS BIGINT) + 1)) AS epoch FROM blocks JOIN wanted USING (source))),
+kept AS (
+  SELECT source, block, count(*) AS copies FROM turns
+  WHERE epoch < floor(passes) OR (floor((passes - floor(passes)) * s) > 0 AND 2 * before + n <= 2 * floor((passes - floor(passes)) * s))
+  GROUP BY ALL)
+SELECT doc_id, source, CAST(tokens AS BIGINT) AS tokens, block, coalesce(copies, 0) AS copies
+FROM docs LEFT JOIN kept USING (source, block)
+"""
