@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import licenses, mixing, packing, secrets, sharding, simhash, tokens, toxicity
+from chatmeter.llm import covertree, licenses, mixing, packing, secrets, sharding, simhash, tokens, topk, toxicity
 from chatmeter.llm.tables import documents
 
 QUERIES: dict = {}
@@ -114,3 +114,23 @@ kept AS (
 SELECT doc_id, source, CAST(tokens AS BIGINT) AS tokens, block, coalesce(copies, 0) AS copies
 FROM docs LEFT JOIN kept USING (source, block)
 """
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
+
+
+@query
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10)
+
+
+SQL["op9_exact_topk"] = """
+WITH pairs AS (
+  SELECT q.vec_id, r.vec_id AS neighbor_id, CAST(list_sum(list_transform(range(1, 65),
+    lambda i: CASE WHEN (q.embedding[i] > 0) <> (r.embedding[i] > 0) THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+  FROM embeddings q, embeddings r WHERE q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id)
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank, neighbor_id, distance
+FROM pairs QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) <= 10
+"""
