@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import covertree, licenses, mixing, packing, secrets, sharding, simhash, tokens, topk, toxicity
+from chatmeter.llm import covertree, licenses, mixing, packing, secrets, sharding, shards, simhash, tokens, topk, toxicity
 from chatmeter.llm.tables import documents
+from chatmeter.session import scratch_dir
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -134,3 +135,11 @@ WITH pairs AS (
 SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank, neighbor_id, distance
 FROM pairs QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) <= 10
 """
+
+
+@query
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-shards")
+    if not shards.write(documents(spark, sf_dir), path, tokens.vocabulary_path(), length=1024, seed=42):
+        return spark.createDataFrame([], "slot long, shard long, byte_offset long, n_ids int, ids_crc32 long")
+    return shards.digests(shards.read(spark, path, length=1024))
