@@ -25,8 +25,14 @@ _TIME = (
 )
 
 _FIELDS = "bot_name string, user_id string"
-# Python's parser takes double quotes only.
-_JSON = {"allowSingleQuotes": "false"}
+# Python's parser takes double quotes only, and sets no limit on the length of numbers and texts; Spark's
+# defaults would drop such lines. Nesting has a limit in both: Python's is its stack.
+_JSON = {
+    "allowSingleQuotes": "false",
+    "maxNumLen": str(2**31 - 1),
+    "maxStringLen": str(2**31 - 1),
+    "maxNestingDepth": "100000",
+}
 # Fixed value: what JSON counts as white space.
 JSON_BLANKS = " \t\n\r"
 
@@ -58,7 +64,9 @@ def _is_single(payload: Column) -> Column:
     also a member of an object.
     """
     is_flat = F.instr(payload, "}") == F.length(payload)
-    is_only_element = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]"))) == 1
+    # Elements as structs of one field: what else is in them is passed over, however deep.
+    elements = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "array<struct<closed: boolean>>", _JSON)
+    is_only_element = F.size(elements) == 1
     member = F.from_json(F.concat(F.lit('{"item":'), payload, F.lit(',"closed":true}')), "closed boolean", _JSON)
     is_member = ~payload.contains("]") | F.coalesce(member["closed"], F.lit(False))
     return is_flat | (is_only_element & is_member)
@@ -84,5 +92,5 @@ def is_test_user(user_id: Column, ignore_case: bool = True) -> Column:
 
 def product_of(topic: Column) -> Column:
     """Product line of a topic: the topic name without its prefix."""
-    rest = F.substring(topic, len(TOPIC_PREFIX) + 1, 1_000)
+    rest = F.substr(topic, F.lit(len(TOPIC_PREFIX) + 1))
     return F.when(topic.startswith(TOPIC_PREFIX), rest).otherwise(topic)

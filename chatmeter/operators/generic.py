@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmeter.functions.text import field, strip, words
@@ -33,18 +33,30 @@ def key_count_sorted(lines: DataFrame) -> DataFrame:
 
 
 def global_average(lines: DataFrame) -> DataFrame:
-    """Count, sum and average of the numbers in lines of exactly two blank-separated tokens."""
+    """Count, sum and average of the numbers in lines of exactly two blank-separated tokens.
+
+    ``cnt`` has all such lines. Whole numbers have up to 38 digits; what is no such number adds
+    nothing, and ``unread`` says how many there were.
+    """
     tokens = words(strip(F.col("value")))
-    numbers = lines.where(F.size(tokens) == 2).select(field(tokens, 1).try_cast("bigint").alias("n"))
+    numbers = lines.where(F.size(tokens) == 2).select(whole_number(field(tokens, 1)).alias("n"))
     return numbers.agg(
-        F.count("n").alias("cnt"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.avg("n").alias("average")
+        F.count(F.lit(1)).alias("cnt"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("decimal(38,0)").alias("total"),
+        F.avg(F.col("n").cast("double")).alias("average"),
+        F.count_if(F.col("n").isNull()).alias("unread"),
     )
 
 
+def whole_number(text: Column) -> Column:
+    """A whole number of up to 38 digits, null for any other text."""
+    return F.when(strip(text).rlike(r"^[+-]?[0-9]+\z"), strip(text)).try_cast("decimal(38,0)")
+
+
 def people_typed(lines: DataFrame) -> DataFrame:
     """``name,age`` lines with the age as a number."""
     parts = F.split("value", ",")
-    return lines.select(field(parts, 0).alias("name"), strip(field(parts, 1)).try_cast("bigint").alias("age"))
+    return lines.select(field(parts, 0).alias("name"), whole_number(field(parts, 1)).alias("age"))
 
 
 def people_strings(lines: DataFrame) -> DataFrame:

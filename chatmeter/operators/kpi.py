@@ -7,9 +7,10 @@ requests costs one row per map task. User sets shuffle on bot *and* user, which
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chatmeter.session import materialize
+
 USER = ["bot_name", "user_id"]
 
 
@@ -48,8 +49,11 @@ def add_counters(*counters: DataFrame) -> DataFrame:
 
 
 def overwrite_counters(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """``fresh`` values for its bots, ``stored`` ones for the others."""
-    return stored.join(fresh, "bot_name", "left_anti").unionByName(fresh)
+    """``fresh`` values for its bots, ``stored`` ones for the others; each side is read once."""
+    both = stored.select("bot_name", "pv", F.lit(0).alias("rank")).unionByName(
+        fresh.select("bot_name", "pv", F.lit(1).alias("rank"))
+    )
+    return both.groupBy("bot_name").agg(F.max_by("pv", "rank").alias("pv"))
 
 
 # --- users --------------------------------------------------------------------------------------
@@ -71,8 +75,8 @@ def merge_users(stored: DataFrame, requests: DataFrame) -> DataFrame:
 def new_users(requests: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Users not in ``known``, with the earliest day of theirs in ``requests``.
 
-    Requests are reduced to one row per user before they meet ``known``; both sides are then
-    hashed on (bot, user), and the aggregate's partitioning serves the join as well.
+    Both sides are hashed on (bot, user), unless the planner broadcasts a small ``known``; the
+    aggregate's partitioning then serves the join as well.
     """
     first = requests.groupBy(*USER).agg(F.min("day").alias("day"))
     if known is not None:
@@ -128,19 +132,24 @@ def overall_totals(requests: DataFrame) -> DataFrame:
 
 
 def overall_by_day(requests: DataFrame) -> DataFrame:
-    """PV, UV and new UV of each day, summed over the bots, in one pass over the requests.
+    """PV, UV and new UV of each day, summed over the bots.
 
-    A window over the daily visits of one user of one bot, at most one row per day, tells the
-    first visit; with a join instead, the log would be read and parsed twice.
+    Daily visits are written once, so that the log is parsed once. First days come from a minimum that
+    combines on the map side, and the counts of both are added up per day.
     """
-    visits = _count(requests, ["bot_name", "day", "user_id"], "n")
-    first = F.min("day").over(W.partitionBy(*USER))
-    return (
-        visits.select("day", "n", (F.col("day") == first).alias("is_first"))
-        .groupBy("day")
-        .agg(
-            F.sum("n").alias("pv"),
-            F.count(F.lit(1)).alias("uv"),
-            F.count_if("is_first").alias("new_uv"),
-        )
+    visits = materialize(requests.sparkSession, _count(requests, ["bot_name", "day", "user_id"], "n"), "visits")
+    return overall_of(
+        visits.groupBy("day").agg(F.sum("n").alias("pv")), visits, visits.groupBy(*USER).agg(F.min("day").alias("day"))
     )
+
+
+def overall_of(pv: DataFrame, users: DataFrame, new: DataFrame) -> DataFrame:
+    """The overall KPIs of each day, from the PV per day, the users per day, and the new users per day."""
+    parts = [
+        pv.groupBy("day").agg(F.sum("pv").alias("pv"), F.lit(0).alias("uv"), F.lit(0).alias("new_uv")),
+        users.groupBy("day").agg(F.lit(0).alias("pv"), F.count(F.lit(1)).alias("uv"), F.lit(0).alias("new_uv")),
+        new.groupBy("day").agg(F.lit(0).alias("pv"), F.lit(0).alias("uv"), F.count(F.lit(1)).alias("new_uv")),
+    ]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    sums = [F.sum(c).alias(c) for c in ("pv", "uv", "new_uv")]
+    return together.groupBy("day").agg(*sums)

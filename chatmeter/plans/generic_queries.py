@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmeter.operators import generic
 from chatmeter.plans.registry import query
-from chatmeter.session import scratch_dir
+from chatmeter.session import materialize, scratch_dir
 from chatmeter.sources import testtables
 from chatmeter.sources.readers import as_lines, read_json, read_table
 
@@ -52,11 +52,12 @@ def key_count_sorted(spark, sf_dir):
 
 
 @query(
-    """SELECT count(*) AS cnt, CAST(sum(c_nationkey) AS BIGINT) AS total, avg(c_nationkey) AS average
-    FROM customer WHERE c_custkey % 7 <> 0"""
+    """SELECT count(*) AS cnt, CAST(sum(c_nationkey) AS BIGINT) AS total, avg(c_nationkey) AS average,
+    CAST(0 AS BIGINT) AS unread FROM customer WHERE c_custkey % 7 <> 0"""
 )
 def global_avg(spark, sf_dir):
-    return generic.global_average(testtables.pair_lines(_customer(spark, sf_dir)))
+    found = generic.global_average(testtables.pair_lines(_customer(spark, sf_dir)))
+    return found.withColumn("total", F.col("total").cast("bigint"))
 
 
 @query("SELECT c_name AS name FROM customer")
@@ -69,7 +70,8 @@ def json_scan(spark, sf_dir):
 
 @query("SELECT c_name AS name, CAST(c_nationkey AS BIGINT) AS age FROM customer")
 def people_typed(spark, sf_dir):
-    return generic.people_typed(testtables.people_lines(_customer(spark, sf_dir)))
+    people = generic.people_typed(testtables.people_lines(_customer(spark, sf_dir)))
+    return people.withColumn("age", F.col("age").cast("bigint"))
 
 
 @query("SELECT c_name AS name, CAST(c_nationkey AS VARCHAR) AS age FROM customer")
@@ -119,10 +121,12 @@ def sql_eq_in(spark, sf_dir):
 
 @query("SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part ORDER BY p_partkey LIMIT 1")
 def catalog_limit(spark, sf_dir):
-    """A catalog table over the given files."""
-    path = f"{sf_dir}/part.parquet"
-    name = f"chatmeter_part_{zlib.crc32(path.encode()):08x}"
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet")
+    """A catalog table over the given files, which leaves the catalog again; the files stay."""
+    name = f"chatmeter_part_{uuid.uuid4().hex}"
+    spark.catalog.createTable(name, path=f"{sf_dir}/part.parquet", source="parquet")
     columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
-    return generic.first_rows(read_table(spark, name).select(*columns), ["p_partkey"])
+    try:
+        row = generic.first_rows(read_table(spark, name).select(*columns), ["p_partkey"])
+        return materialize(spark, row, "first_part")
+    finally:
+        spark.sql(f"DROP TABLE {name}")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,21 +38,39 @@ def hadoop_path(spark: SparkSession, path: str):
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder that every executor can reach, removed when the session ends.
 
-    It lies under ``spark.checkpoint.dir`` as the cluster sets it; only where that is unset (a
-    plain local run) is a local temporary folder made and set as the checkpoint folder.
+    It lies under ``spark.checkpoint.dir`` as the cluster sets it. Where that is unset, a session that
+    runs in one process gets a local temporary folder; any other is refused, as its executors
+    would each write to a disk of their own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="chatmeter-")
-        spark.sparkContext.setCheckpointDir(base)
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _local_base()
     path = f"{base.rstrip('/')}/chatmeter/{name}-{uuid.uuid4().hex}"
     hpath, fs = hadoop_path(spark, path)
     fs.deleteOnExit(hpath)
     return path
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="chatmeter-")
+
+
+@contextmanager
+def scratch_table(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A materialized copy of ``df`` that is deleted at the end of the block."""
+    path = scratch_dir(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        hpath, fs = hadoop_path(spark, path)
+        fs.delete(hpath, True)
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a scratch table and read it back.
 

@@ -192,6 +192,21 @@ def test_lines_without_topic_have_no_product(spark):
     assert row.product is None and row.bot_name == "b"
 
 
+@pytest.mark.parametrize("closing", ["", ',"y":{"z":1}'])  # with one closing brace, and with two
+def test_long_numbers_and_deep_nesting_are_kept(spark, closing):
+    number = '{"bot_name":"b","user_id":"u","x":%s%s}' % ("9" * 1_500, closing)
+    deep = '{"bot_name":"b","user_id":"u","x":%s%s%s}' % ("[" * 1_200, "]" * 1_200, closing)
+    objects = '{"bot_name":"b","user_id":"u","x":%s1%s%s}' % ('{"k":' * 1_200, "}" * 1_200, closing)
+    df = spark.createDataFrame([(line(p),) for p in (number, deep, objects)], LINES)
+    assert [(r.bot_name, r.user_id) for r in clean_events(df).collect()] == [("b", "u")] * 3
+
+
+def test_long_topics_stay_whole(spark):
+    names = ["a" * 1_500, "a" * 1_500 + "b"]
+    df = spark.createDataFrame([("chatlog_" + n, line()) for n in names], "topic string, value string")
+    assert sorted(r.product for r in clean_events(df).collect()) == names
+
+
 def test_topic_prefix_is_cut(spark):
     row = clean_events(spark.createDataFrame([("chatlog_adult", line())], "topic string, value string")).first()
     assert row.product == "adult"

@@ -34,13 +34,16 @@ def test_key_counts_are_in_order(spark):
 
 def test_average_of_two_token_lines(spark, rows):
     text = lines(spark, " a 1 ", "b 2", "c 3 x", "d", "e  4", "\tf 6　")
-    assert rows(generic.global_average(text)) == [(3, 9, 3.0)]
-    assert rows(generic.global_average(lines(spark, "x"))) == [(0, 0, None)]
+    assert rows(generic.global_average(text)) == [(3, 9, 3.0, 0)]
+    assert rows(generic.global_average(lines(spark, "x"))) == [(0, 0, None, 0)]
+    wide = lines(spark, "a " + "9" * 25, "b 1", "c x")
+    assert rows(generic.global_average(wide), "cnt", "total", "unread") == [(3, 10**25, 1)]
 
 
 def test_people_from_text(spark, rows):
     text = lines(spark, "Michael, 29", "Andy,30", "Justin, x", "None")
     assert rows(generic.people_typed(text)) == [("Andy", 30), ("Justin", None), ("Michael", 29), ("None", None)]
+    assert rows(generic.people_typed(lines(spark, "Ann," + "9" * 25))) == [("Ann", 10**25 - 1)]
     strings = generic.people_strings(text)
     assert rows(strings) == [("Andy", "30"), ("Justin", "x"), ("Michael", "29"), ("None", None)]
     assert [f.dataType.simpleString() for f in strings.schema] == ["string", "string"]
