@@ -40,22 +40,6 @@ def to_counters(pv: DataFrame, targets: tuple[str, ...]) -> DataFrame:
     return pv.select(F.explode(F.array(*map(F.lit, targets))).alias("target"), "bot_name", "pv")
 
 
-def add_counters(*counters: DataFrame) -> DataFrame:
-    """Sum of counter tables, per bot."""
-    together = counters[0].select("bot_name", "pv")
-    for counter in counters[1:]:
-        together = together.unionByName(counter.select("bot_name", "pv"))
-    return together.groupBy("bot_name").agg(F.sum("pv").alias("pv"))
-
-
-def overwrite_counters(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """``fresh`` values for its bots, ``stored`` ones for the others; each side is read once."""
-    both = stored.select("bot_name", "pv", F.lit(0).alias("rank")).unionByName(
-        fresh.select("bot_name", "pv", F.lit(1).alias("rank"))
-    )
-    return both.groupBy("bot_name").agg(F.max_by("pv", "rank").alias("pv"))
-
-
 # --- users --------------------------------------------------------------------------------------
 
 

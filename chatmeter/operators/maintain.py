@@ -1,12 +1,10 @@
-"""Corrections of the KPI tables: tables in, corrected tables out, nothing changed in place."""
+"""What corrections of the KPI tables are about; ``plans.jobs`` carries them out on a store."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatmeter.operators.kpi import USER, add_counters
-
 
 def bots_of_type(dim_bot: DataFrame, bot_type: str) -> DataFrame:
     """Bot names of one type; on a database the predicate runs in the database."""
@@ -16,52 +14,11 @@ def bots_of_type(dim_bot: DataFrame, bot_type: str) -> DataFrame:
 def users_to_roll_back(new_users: DataFrame, day: str, bots: DataFrame | None = None) -> DataFrame:
     """New users of the day, of all bots or of the given ones.
 
-    The day is a partition of the stored table, so one partition is read. ``bots`` comes from the
-    dimension table; the planner broadcasts it when the table's size allows and else sorts both
-    sides, where adaptive execution splits a hot bot.
+    Of a published table one day's folder is read. ``bots`` comes from the dimension table; the planner
+    broadcasts it when the table's size allows and else sorts both sides, where adaptive
+    execution splits a hot bot.
     """
     removed = new_users.where(F.col("day") == F.lit(day).cast("date"))
     if bots is not None:
         removed = removed.join(bots, "bot_name", "left_semi")
     return removed.select("bot_name", "day", "user_id")
-
-
-def rollback_users(users: DataFrame, removed: DataFrame) -> DataFrame:
-    """All-time users without the removed ones."""
-    return users.join(removed.select(*USER), USER, "left_anti")
-
-
-def rollback_new_users(new_users: DataFrame, removed: DataFrame) -> DataFrame:
-    """New users per day without the removed ones."""
-    return new_users.join(removed, ["bot_name", "day", "user_id"], "left_anti")
-
-
-def forget_first_seen(first_seen: DataFrame, day: str, bots: DataFrame | None = None) -> DataFrame:
-    """The same rollback where one table holds users and their first day, as the store's does.
-
-    Without ``bots`` it is a filter, with them one join; users without a first day stay.
-    """
-    that_day = F.lit(day).cast("date")
-    if bots is None:
-        return first_seen.where(~F.col("day").eqNullSafe(that_day))
-    listed = bots.select(F.col("bot_name").alias("listed_bot"))
-    condition = (F.col("bot_name") == F.col("listed_bot")) & (F.col("day") == that_day)
-    return first_seen.join(listed, condition, "left_anti")
-
-
-def purge_bots(table: DataFrame, bots: list[str]) -> DataFrame:
-    """Drop the rows of hand-listed bots, from users or counters alike; an empty list drops none."""
-    return table.where(~F.col("bot_name").isin(bots)) if bots else table
-
-
-def merge_history(live: DataFrame, history: DataFrame) -> DataFrame:
-    """Add history PV to live PV, kept apart by ``source`` so that doing it again changes nothing.
-
-    ``live`` is (bot_name, source, pv), as is the result.
-    """
-    tagged = history.select("bot_name", F.lit("history").alias("source"), "pv")
-    return live.where(F.col("source") != "history").select("bot_name", "source", "pv").unionByName(tagged)
-
-
-def pv_of_sources(live: DataFrame) -> DataFrame:
-    return add_counters(live)

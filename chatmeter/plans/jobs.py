@@ -1,98 +1,142 @@
-"""Batch jobs over log files, and corrections of the stored tables.
+"""Batch jobs over log files, corrections of the stored tables, and their publication.
 
 A backfill reads its text once: one aggregate per (bot, user) holds the page views and the users
 alike, is written to a scratch table, and every KPI table is filled from there. ``job`` names the
-run; running it again replaces what it wrote.
+run; running it again replaces what it wrote. Corrections change the store in place, and hold
+when what they corrected is written again; stop the streams of the store while one runs.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatmeter.operators import kpi, maintain
 from chatmeter.operators.clean import clean_events
-from chatmeter.session import materialize
+from chatmeter.session import scratch_table
+from chatmeter.sources import deltas
 from chatmeter.sources.readers import read_lines
-from chatmeter.sources.store import KpiStore, arrival
+from chatmeter.sources.store import KpiStore
 
 
-def _visits(spark: SparkSession, requests: DataFrame, day: Column) -> DataFrame:
-    """(bot_name, user_id) with page views and first day, as a scratch table."""
+def _fill(store: KpiStore, requests: DataFrame, day: Column, job: str, given) -> None:
+    arrived = store.arrival(job, given)
     visits = requests.groupBy(*kpi.USER).agg(F.count(F.lit(1)).alias("pv"), F.min(day).alias("day"))
-    return materialize(spark, visits, "visits")
-
-
-def _fill(store: KpiStore, requests: DataFrame, day: Column, job: str, arrived) -> None:
-    visits = _visits(store.spark, requests, day)
-    store.append("first_seen", visits.withColumn("arrived", arrival(arrived)), job)
-    store.append("pv_total", visits.groupBy("bot_name").agg(F.sum("pv").alias("pv")), job)
+    with scratch_table(store.spark, visits, "visits") as visits:
+        seen = visits.withColumn("arrived", F.lit(arrived).cast("timestamp"))
+        store.append("first_seen", seen, job, kind="job", arrived=arrived)
+        store.append("pv_total", visits.groupBy("bot_name").agg(F.sum("pv").alias("pv")), job, kind="job")
 
 
-def backfill_totals(store: KpiStore, path: str, job: str, arrived=None) -> None:
+def backfill_totals(store: KpiStore, path: str, job: str, arrived=None, recursive: bool = False) -> None:
     """Total PV and all-time users of log files; the users count as new on no day."""
-    requests = clean_events(read_lines(store.spark, path), strip_ids=True)
+    requests = clean_events(read_lines(store.spark, path, recursive), strip_ids=True)
     _fill(store, requests, F.lit(None).cast("date"), job, arrived)
 
 
-def backfill_days(store: KpiStore, path: str, job: str, arrived=None) -> None:
+def backfill_days(store: KpiStore, path: str, job: str, arrived=None, recursive: bool = False) -> None:
     """Total PV, all-time users and new users per day of log files."""
-    requests = clean_events(read_lines(store.spark, path), strip_ids=True)
+    requests = clean_events(read_lines(store.spark, path, recursive), strip_ids=True)
     _fill(store, requests, F.col("day"), job, arrived)
 
 
-def backfill_pv(store: KpiStore, path: str, job: str) -> None:
+def backfill_pv(store: KpiStore, path: str, job: str, recursive: bool = False) -> None:
     """PV of log files, added to the totals and to the history; times are not checked."""
-    requests = clean_events(read_lines(store.spark, path), check_time=False)
-    pv = materialize(store.spark, kpi.pv_total(requests), "pv")
-    for table in ("pv_total", "pv_history"):
-        store.append(table, pv, job)
+    requests = clean_events(read_lines(store.spark, path, recursive), check_time=False)
+    with scratch_table(store.spark, kpi.pv_total(requests), "pv") as pv:
+        for table in ("pv_total", "pv_history"):
+            store.append(table, pv, job, kind="job")
 
 
-def rebuild_history(store: KpiStore, path: str, job: str) -> None:
+def rebuild_history(store: KpiStore, path: str, job: str, recursive: bool = False) -> None:
     """History PV of the bots in an extracted file, in place of what they had."""
-    pv = materialize(store.spark, kpi.pv_extracted(read_lines(store.spark, path)), "pv")
-    store.set_history(pv, job)
+    with scratch_table(store.spark, kpi.pv_extracted(read_lines(store.spark, path, recursive)), "pv") as pv:
+        store.set_history(pv, job)
 
 
 def merge_history(store: KpiStore, job: str = "history") -> None:
     """Add the history PV to the live PV; a second run under the same name adds nothing."""
-    store.append("pv_total", store.pv_history(), job)
+    store.append("pv_total", store.pv_history(), job, kind="job")
 
 
-def rollback_day(store: KpiStore, day: str, into: str, bots: DataFrame | None = None) -> KpiStore:
-    """Forget the users who were new on a day, so that they can be new again.
-
-    The corrected table goes to the new folder ``into``; the returned store reads it. Stop the
-    streams that write to the store before and start them on the returned one.
-    """
-    return _replace(store, "first_seen", maintain.forget_first_seen(store.folded("first_seen"), day, bots), into)
+def rollback_day(store: KpiStore, day: str, bots: DataFrame | None = None) -> None:
+    """Forget the users who were new on a day, of all bots or of the given ones, so that they can be new again."""
+    store.correct("first_seen", maintain.users_to_roll_back(store.new_users_day(), day, bots).select(*kpi.USER))
 
 
-def purge_bots(store: KpiStore, bots: list[str], into: str) -> KpiStore:
+def purge_bots(store: KpiStore, bots: list[str]) -> None:
     """Forget all users of the listed bots."""
-    return _replace(store, "first_seen", maintain.purge_bots(store.folded("first_seen"), bots), into)
+    if bots:
+        store.correct("first_seen", _listed(store, bots))
 
 
-def purge_pv(store: KpiStore, bots: list[str], into: str) -> KpiStore:
+def purge_pv(store: KpiStore, bots: list[str]) -> None:
     """Drop the total PV of the listed bots; the PV per day stays."""
-    return _replace(store, "pv_total", maintain.purge_bots(store.folded("pv_total"), bots), into)
+    if bots:
+        store.correct("pv_total", _listed(store, bots))
+
+
+def _listed(store: KpiStore, bots: list[str]) -> DataFrame:
+    return store.spark.createDataFrame([(b,) for b in sorted(set(bots))], "bot_name string")
+
+
+# --- published tables -----------------------------------------------------------------------------
+
+# Tables with a day, and the stored table that each comes from. New users have no day of their own in it.
+DAILY = {"pv_day": "pv_day", "users_day": "users_day", "qps_bot": "qps", "qps_product": "qps", "new_users_day": None}
+WHOLE = ("pv_total", "pv_history", "users_total", "bot_registry", "overall_totals", "overall_by_day")
 
 
-def _replace(store: KpiStore, table: str, corrected: DataFrame, into: str) -> KpiStore:
-    changed = store.with_table(table, into)
-    changed.append(table, corrected, "corrected")
-    return changed
+def _published(spark: SparkSession, out: str) -> tuple[int, dict]:
+    found = deltas.versions(spark, f"{out}/_versions")
+    return (found[-1][0], json.loads(deltas.read_text(spark, found[-1][1]))) if found else (0, {})
 
 
 def publish(store: KpiStore, out: str) -> None:
-    """Write the KPI tables for readers, those with a day in one folder per day.
+    """Write the KPI tables for readers, as a new version that shows when it is complete.
 
-    Rows of a day are rebalanced before the write, which splits a large day over several tasks and
-    joins small ones.
+    Of tables by day only those days are written whose batches have changed since the last version; a day
+    that has become empty goes. ``read_published`` follows the versions, so readers never meet a half
+    written table.
     """
-    for name in ("pv_day", "users_day", "new_users_day", "qps_bot", "qps_product"):
-        table = getattr(store, name)().hint("rebalance", "day")
-        table.write.mode("overwrite").partitionBy("day").parquet(f"{out}/{name}")
-    for name in ("pv_total", "pv_history", "users_total", "bot_registry"):
-        getattr(store, name)().write.mode("overwrite").parquet(f"{out}/{name}")
+    spark = store.spark
+    version, before = _published(spark, out)
+    now: dict = {}
+    for name, stored in DAILY.items():
+        old = before.get(name, {"batches": [], "days": {}})
+        batches = [[w, e.data, *e.masks] for w, e in deltas.entries(spark, store.path(stored))] if stored else []
+        rows, kept = getattr(store, name)(), {}
+        if stored:
+            changed = {d for w, e in deltas.entries(spark, store.path(stored)) if [w, e.data, *e.masks] not in old["batches"] for d in e.days}
+            changed |= {d for b in old["batches"] if b not in batches for d in old["of"].get(b[1], [])}
+            rows = rows.where(F.col("day").isin([F.lit(d).cast("date") for d in sorted(changed)])) if changed else rows.limit(0)
+            kept = {d: at for d, at in old["days"].items() if d not in changed}
+        path = f"{out}/data/table={name}/version={version + 1}"
+        rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
+        names = [s.getPath().getName() for s in deltas.listed(spark, path)]
+        days = kept | {n.removeprefix("day="): version + 1 for n in names if n.startswith("day=")}
+        of = {e.data: list(e.days) for _, e in deltas.entries(spark, store.path(stored))} if stored else {}
+        now[name] = {"batches": batches, "days": days, "of": of, "schema": rows.schema.jsonValue()}
+    for name in WHOLE:
+        path = f"{out}/data/table={name}/version={version + 1}"
+        getattr(store, name)().hint("rebalance").write.mode("overwrite").parquet(path)
+        now[name] = {"version": version + 1}
+    deltas.put_text(spark, f"{out}/_versions/{version + 1:012d}.json", json.dumps(now))
+
+
+def read_published(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A published table as its latest version has it."""
+    version, tables = _published(spark, out)
+    if not version:
+        raise FileNotFoundError(f"nothing is published in {out}")
+    base = f"{out}/data/table={name}"
+    if name in WHOLE:
+        return spark.read.parquet(f"{base}/version={tables[name]['version']}")
+    schema = T.StructType.fromJson(tables[name]["schema"])
+    paths = [f"{base}/version={at}/day={day}" for day, at in sorted(tables[name]["days"].items())]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.fieldNames())

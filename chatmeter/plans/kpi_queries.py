@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from chatmeter.operators import kpi, maintain
 from chatmeter.operators.clean import clean_events
+from chatmeter.plans import jobs
 from chatmeter.plans import registry as r
 from chatmeter.plans.registry import query
 from chatmeter.session import materialize, scratch_dir
 from chatmeter.sources import testtables
 from chatmeter.sources.readers import read_lines
 from chatmeter.sources.sinks import write_text
+from chatmeter.sources.store import KpiStore
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +96,13 @@ def pv_history_raw(spark, sf_dir):
 )
 def pv_history_overwrite(spark, sf_dir):
     """The extracted file holds the bots of one type; the others keep the stored value."""
-    events = _events(spark, sf_dir)
-    stored = kpi.pv_total(_clean(spark, sf_dir, check_time=False))
-    extracted = testtables.extracted_lines(events.where(F.col("event_type").isin("click", "purchase")))
-    return kpi.overwrite_counters(stored, kpi.pv_extracted(extracted))
+    store, root, logs = _store(spark, sf_dir, "overwrite")
+    jobs.backfill_pv(store, logs, "pv")
+    some = _events(spark, sf_dir).where(F.col("event_type").isin("click", "purchase"))
+    write_text(testtables.extracted_lines(some), f"{root}/extracted")
+    for _ in range(2):
+        jobs.rebuild_history(store, f"{root}/extracted", "extract")
+    return store.pv_history()
 
 
 @query(
@@ -107,10 +112,13 @@ def pv_history_overwrite(spark, sf_dir):
 )
 def pv_history_merge(spark, sf_dir):
     """History added to the live counters, twice; the second time changes nothing."""
-    live = kpi.pv_total(_clean(spark, sf_dir)).select("bot_name", F.lit("stream").alias("source"), "pv")
-    history = kpi.pv_extracted(testtables.extracted_lines(_events(spark, sf_dir)))
-    merged = maintain.merge_history(maintain.merge_history(live, history), history)
-    return maintain.pv_of_sources(merged)
+    store, root, logs = _store(spark, sf_dir, "merge")
+    jobs.backfill_totals(store, logs, "totals")
+    write_text(testtables.extracted_lines(_events(spark, sf_dir)), f"{root}/extracted")
+    jobs.rebuild_history(store, f"{root}/extracted", "extract")
+    for _ in range(2):
+        jobs.merge_history(store)
+    return store.pv_total()
 
 
 # --- users --------------------------------------------------------------------------------------
@@ -228,6 +236,72 @@ def overall_by_day(spark, sf_dir):
     return kpi.overall_by_day(_clean(spark, sf_dir))
 
 
+# --- jobs on a store: log text in, tables out ---------------------------------------------------
+
+
+def _store(spark, sf_dir, name: str) -> tuple[KpiStore, str, str]:
+    """An empty store, its scratch folder, and the log as text files beside it."""
+    root = scratch_dir(spark, name)
+    testtables.log_lines(_events(spark, sf_dir)).select("value").write.text(f"{root}/logs")
+    return KpiStore(spark, f"{root}/store"), root, f"{root}/logs"
+
+
+def _days(spark, sf_dir, name: str) -> tuple[KpiStore, str]:
+    store, _, logs = _store(spark, sf_dir, name)
+    jobs.backfill_days(store, logs, "days")
+    return store, logs
+
+
+@query(r.STRICT + "SELECT bot_name, user_id FROM strict GROUP BY bot_name, user_id")
+def job_backfill_totals(spark, sf_dir):
+    store, _, logs = _store(spark, sf_dir, "totals")
+    jobs.backfill_totals(store, logs, "totals")
+    return store.users_total()
+
+
+@query(r.STRICT + f", {r.FIRST_SEEN} SELECT bot_name, day, user_id FROM first_seen")
+def job_backfill_days(spark, sf_dir):
+    """Run twice under its name, and once more under another, which brings no new user."""
+    store, logs = _days(spark, sf_dir, "days")
+    jobs.backfill_days(store, logs, "days")
+    jobs.backfill_days(store, logs, "again")
+    return store.new_users_day()
+
+
+@query(r.LOOSE + "SELECT bot_name, 2 * count(*) AS pv FROM loose GROUP BY bot_name")
+def job_backfill_pv(spark, sf_dir):
+    """Live counters after the history was merged into them, twice."""
+    store, _, logs = _store(spark, sf_dir, "pv")
+    jobs.backfill_pv(store, logs, "pv")
+    for _ in range(2):
+        jobs.merge_history(store)
+    return store.pv_total()
+
+
+@query(r.STRICT + "SELECT bot_name, 3 * count(*) AS pv FROM strict GROUP BY bot_name")
+def job_compact(spark, sf_dir):
+    """Three runs, each compacted, one repeated afterwards; data without a reference deleted."""
+    store, logs = _days(spark, sf_dir, "compact")
+    for job in ("second", "third", "second"):
+        jobs.backfill_days(store, logs, job)
+        store.compact(job, "job")
+    store.vacuum(hours=0)
+    return store.pv_total()
+
+
+@query(
+    r.STRICT + f", {r.FIRST_SEEN} SELECT bot_name, day, user_id FROM first_seen WHERE day <> DATE '{r.ROLLBACK_DAY}'"
+)
+def job_publish(spark, sf_dir):
+    """Published, corrected and published again; readers see the second version."""
+    store, logs = _days(spark, sf_dir, "publish")
+    out = f"{store.root}-published"
+    jobs.publish(store, out)
+    jobs.rollback_day(store, r.ROLLBACK_DAY)
+    jobs.publish(store, out)
+    return jobs.read_published(spark, out, "new_users_day")
+
+
 # --- corrections --------------------------------------------------------------------------------
 
 
@@ -235,28 +309,29 @@ def _dim_bot(spark, sf_dir) -> DataFrame:
     return materialize(spark, testtables.dim_bots(_events(spark, sf_dir)), "dim_bot")
 
 
-def _new_users(spark, sf_dir) -> DataFrame:
-    """The stored table of new users, in one folder per day."""
-    return materialize(spark, kpi.new_users(_clean_batch(spark, sf_dir)), "new_users", partition_by=("day",))
-
-
 @query(f"WITH {r.DIM_BOT} SELECT bot_name FROM dim_bot WHERE type = '{r.BOT_TYPE}'")
 def dim_bots_of_type(spark, sf_dir):
     return maintain.bots_of_type(_dim_bot(spark, sf_dir), r.BOT_TYPE)
 
 
+def _rolled_back(spark, sf_dir, bots: DataFrame | None = None) -> KpiStore:
+    """After a rollback, which the same backfill, run once more, does not undo."""
+    store, logs = _days(spark, sf_dir, "rollback")
+    jobs.rollback_day(store, r.ROLLBACK_DAY, bots)
+    jobs.backfill_days(store, logs, "days")
+    return store
+
+
 @query(r.STRICT + f", {r.FIRST_SEEN} SELECT bot_name, user_id FROM first_seen WHERE day <> DATE '{r.ROLLBACK_DAY}'")
 def rollback_day(spark, sf_dir):
-    new = _new_users(spark, sf_dir)
-    return maintain.rollback_users(new.select(*kpi.USER), maintain.users_to_roll_back(new, r.ROLLBACK_DAY))
+    return _rolled_back(spark, sf_dir).users_total()
 
 
 @query(
     r.STRICT + f", {r.FIRST_SEEN} SELECT bot_name, day, user_id FROM first_seen WHERE day <> DATE '{r.ROLLBACK_DAY}'"
 )
 def rollback_day_new_users(spark, sf_dir):
-    new = _new_users(spark, sf_dir)
-    return maintain.rollback_new_users(new, maintain.users_to_roll_back(new, r.ROLLBACK_DAY))
+    return _rolled_back(spark, sf_dir).new_users_day()
 
 
 @query(
@@ -264,17 +339,20 @@ def rollback_day_new_users(spark, sf_dir):
     WHERE NOT (day = DATE '{r.ROLLBACK_DAY}' AND bot_name IN (SELECT bot_name FROM dim_bot WHERE type = '{r.BOT_TYPE}'))"""
 )
 def rollback_day_of_type(spark, sf_dir):
-    new = _new_users(spark, sf_dir)
-    bots = maintain.bots_of_type(_dim_bot(spark, sf_dir), r.BOT_TYPE)
-    removed = maintain.users_to_roll_back(new, r.ROLLBACK_DAY, bots)
-    return maintain.rollback_users(new.select(*kpi.USER), removed)
+    return _rolled_back(spark, sf_dir, maintain.bots_of_type(_dim_bot(spark, sf_dir), r.BOT_TYPE)).users_total()
 
 
 @query(r.STRICT + f"SELECT DISTINCT bot_name, user_id FROM strict WHERE bot_name NOT IN {r.PURGED}")
 def purge_bots(spark, sf_dir):
-    return maintain.purge_bots(kpi.users_total(_clean_batch(spark, sf_dir)), list(r.PURGED))
+    store, logs = _days(spark, sf_dir, "purge_bots")
+    jobs.purge_bots(store, list(r.PURGED))
+    jobs.backfill_days(store, logs, "days")
+    return store.users_total()
 
 
 @query(r.STRICT + f"SELECT bot_name, count(*) AS pv FROM strict WHERE bot_name NOT IN {r.PURGED} GROUP BY bot_name")
 def purge_pv(spark, sf_dir):
-    return maintain.purge_bots(kpi.pv_total(_clean_batch(spark, sf_dir)), list(r.PURGED))
+    store, logs = _days(spark, sf_dir, "purge_pv")
+    jobs.purge_pv(store, list(r.PURGED))
+    jobs.backfill_days(store, logs, "days")
+    return store.pv_total()

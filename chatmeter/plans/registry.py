@@ -36,6 +36,14 @@ _CASED_USER = "CASE WHEN event_id % 29 = 0 THEN 'Monitor' || user_id ELSE 'u' ||
 STRICT = f"""WITH strict AS (SELECT {_COLUMNS.format(user=_PLAIN_USER, second=_CLOCK)}
   FROM events WHERE {_BASE} AND event_id % 29 <> 0 AND event_id % 17 <> 0)
 """
+# The same with the micro-batch that brings a request, where the events come in so many parts by id.
+BATCHES = 8
+BATCHED = f"""WITH batched AS (SELECT {_COLUMNS.format(user=_PLAIN_USER, second=_CLOCK)},
+    event_id * {BATCHES} // (SELECT max(event_id) + 1 FROM events) AS batch
+  FROM events WHERE {_BASE} AND event_id % 29 <> 0 AND event_id % 17 <> 0),
+arrivals AS (SELECT *, min(batch) OVER (PARTITION BY bot_name, user_id) AS first_batch FROM batched),
+first_arrival AS (SELECT bot_name, user_id, min(day) AS day FROM arrivals WHERE batch = first_batch GROUP BY bot_name, user_id)
+"""
 LOOSE = f"""WITH loose AS (SELECT {_COLUMNS.format(user=_PLAIN_USER, second=_RAW_CLOCK)}
   FROM events WHERE {_BASE} AND event_id % 29 <> 0)
 """

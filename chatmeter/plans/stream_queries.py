@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chatmeter.operators import kpi
 from chatmeter.plans import registry as r
 from chatmeter.plans.registry import query
-from chatmeter.schema import WORD_COUNTS
+from chatmeter.schema import TOPIC_LINES, WORD_COUNTS
 from chatmeter.session import ROCKSDB, scratch_dir
 from chatmeter.sources import deltas, testtables
 from chatmeter.sources.readers import as_lines, stream_lines, stream_table
@@ -52,11 +52,16 @@ def stream_new_users(spark, sf_dir):
 @query(r.STRICT + "SELECT DISTINCT bot_name, day, user_id FROM strict")
 def stream_users_day(spark, sf_dir):
     """With the seen users in the state store; the table has each once without a distinct."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
     root = scratch_dir(spark, "stream_users_day")
     store = KpiStore(spark, f"{root}/tables")
     lines = _line_stream(spark, sf_dir)
-    pipeline.start_users_day(lines, store, f"{root}/checkpoint", "users", trigger=pipeline.ONCE).awaitTermination()
+    try:
+        spark.conf.set(provider, ROCKSDB)
+        pipeline.start_users_day(lines, store, f"{root}/checkpoint", "users", trigger=pipeline.ONCE).awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
     return store.rows("users_day")
 
 
@@ -75,8 +80,10 @@ def stream_users_day(spark, sf_dir):
 )
 def stream_all(spark, sf_dir):
     """One stream fills every table; all KPIs are then read from the tables."""
-    store = _run(spark, sf_dir, "stream_all", pipeline.write_all)
+    return _all_kpis(_run(spark, sf_dir, "stream_all", pipeline.write_all))
 
+
+def _all_kpis(store: KpiStore) -> DataFrame:
     def named(name: str, df: DataFrame, key: str, value: str) -> DataFrame:
         day = F.col("day").cast("string") if "day" in df.columns else F.lit("all")
         return df.select(F.lit(name).alias("kpi"), F.col(key).alias("key"), day.alias("day"), F.col(value).alias("value"))
@@ -97,6 +104,51 @@ def stream_all(spark, sf_dir):
     return result
 
 
+# --- several micro-batches ------------------------------------------------------------------------
+
+
+def _run_in_parts(spark: SparkSession, sf_dir: str, name: str, write, **cleaning) -> KpiStore:
+    """The events in ``BATCHES`` files by id, one for each trigger. Half way the stream stops, its batches are
+    compacted, and a new query goes on from the checkpoint."""
+    root = scratch_dir(spark, name)
+    store = KpiStore(spark, f"{root}/tables")
+    events = testtables.table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id") + 1).first()[0] or 1
+    part = F.floor(F.col("event_id") * r.BATCHES / top)
+    for half in (range(r.BATCHES // 2), range(r.BATCHES // 2, r.BATCHES)):
+        for k in half:
+            rows = testtables.log_lines(events.where(part == k))
+            rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        lines = spark.readStream.schema(TOPIC_LINES).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        stream = pipeline.start_kpis(lines, store, f"{root}/checkpoint", name, write, trigger=pipeline.ONCE, **cleaning)
+        stream.awaitTermination()
+        store.compact(name)
+    return store
+
+
+@query(r.BATCHED + "SELECT bot_name, day, user_id FROM first_arrival")
+def stream_parts_new_users(spark, sf_dir):
+    """First come, first kept: the day of a user is the earliest of the batch that brought the user."""
+    return _run_in_parts(spark, sf_dir, "parts_new_users", pipeline.write_new_users).new_users_day()
+
+
+@query(r.CASED + f"SELECT bot_name, DATE '{r.AS_OF}' AS day, count(*) AS pv FROM cased GROUP BY bot_name")
+def stream_parts_pv_processing(spark, sf_dir):
+    """By the clock of processing, which is given here."""
+    rules = pipeline.PROCESSING_TIME_CASE_SENSITIVE | {"as_of": r.AS_OF}
+    return _run_in_parts(spark, sf_dir, "parts_pv", pipeline.write_pv, **rules).pv_day()
+
+
+@query(
+    r.BATCHED + """, totals AS (SELECT day, count(*) AS pv, count(DISTINCT (bot_name, user_id)) AS uv FROM batched GROUP BY day)
+    SELECT day, pv, uv, CAST(coalesce(new_uv, 0) AS BIGINT) AS new_uv FROM totals
+    LEFT JOIN (SELECT day, count(*) AS new_uv FROM first_arrival GROUP BY day) USING (day)"""
+)
+def stream_parts_overall(spark, sf_dir):
+    """Every table filled, and the overall KPIs of each day read from them."""
+    return _run_in_parts(spark, sf_dir, "parts_all", pipeline.write_all).overall_by_day()
+
+
 @query(
     """SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(line, ' ')) AS word FROM (
       SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,14 @@ def read_dimension(
 ) -> DataFrame:
     """A dimension table of a relational database; filters on the result are pushed to it."""
     settings = dimension_options(url, table, user, password, columns) | options
-    return spark.read.format("jdbc").options(**settings).load()
+    return as_dimension(spark.read.format("jdbc").options(**settings).load())
+
+
+def as_dimension(table: DataFrame) -> DataFrame:
+    """(type, bot_name) of a dimension table, whose database calls the bot ``botname``."""
+    names = {c.lower(): c for c in table.columns}
+    bot = names.get("bot_name") or names["botname"]
+    return table.select(F.col(names["type"]).alias("type"), F.col(bot).alias("bot_name"))
 
 
 def dimension_options(url: str, table: str, user: str, password: str, columns: str = "*") -> dict[str, str]:
@@ -80,7 +89,9 @@ def stream_table(
 
     The path is given as a pattern for itself: the source takes a plain path to be a folder.
     """
-    path = f"{path[:-1]}[{path[-1]}]"
+    path = path.rstrip("/")
+    last = "?" if path[-1] in "[]{}\\^!*" else f"[{path[-1]}]"
+    path = re.sub(r"([\\*?\[\]{}])", r"\\\1", path[:-1]) + last
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmeter import schema
@@ -17,11 +17,13 @@ def _sum(value: str, *keys: str):
 
 
 def _earliest(df: DataFrame) -> DataFrame:
-    return df.groupBy(*kpi.USER).agg(F.min_by("day", "arrived").alias("day"), F.min("arrived").alias("arrived"))
+    """The day of the first arrival; of batches that arrived together, the earliest day."""
+    day = F.min_by("day", F.struct("arrived", "day")).alias("day")
+    return df.groupBy(*kpi.USER).agg(day, F.min("arrived").alias("arrived"))
 
 
 class KpiStore:
-    """Tables under one folder; ``tables`` puts single ones elsewhere, as corrections do.
+    """Tables under one folder, corrected in place.
 
     Bot-level tables have no product in their key: a bot that occurs in two topics shares its
     counters.
@@ -36,36 +38,46 @@ class KpiStore:
         "users_day": (schema.USERS_DAY, lambda df: df.distinct()),
         "first_seen": (schema.FIRST_SEEN_DELTA, _earliest),
     }
+    BY_DAY = ("pv_day", "qps", "users_day")  # with a folder for each day inside a batch's data
 
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str] | None = None):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), dict(tables or {})
-
-    def with_table(self, table: str, path: str) -> KpiStore:
-        return KpiStore(self.spark, self.root, self.tables | {table: path})
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, table: str) -> str:
-        return self.tables.get(table, f"{self.root}/{table}")
+        return f"{self.root}/{table}"
 
     # --- writing ---
 
-    def append(self, table: str, df: DataFrame, source: str, batch: int = 0) -> None:
+    def append(
+        self, table: str, df: DataFrame, source: str, batch: int = 0, kind: str = "stream", arrived: str | None = None
+    ) -> None:
         columns = self.TABLES[table][0].fieldNames()
-        deltas.write_delta(df.select(*columns), self.path(table), source, batch)
+        deltas.write_delta(df.select(*columns), self.path(table), kind, source, batch, table in self.BY_DAY, arrived)
 
-    def set_history(self, fresh: DataFrame, source: str, batch: int = 0) -> None:
+    def set_history(self, fresh: DataFrame, source: str, batch: int = 0, kind: str = "job") -> None:
         """Make the history PV of the bots in ``fresh`` equal to it, by appending the difference."""
         columns, fold = self.TABLES["pv_history"]
-        others = deltas.read_deltas(self.spark, self.path("pv_history"), columns, without_source=source)
+        others = deltas.read_deltas(self.spark, self.path("pv_history"), columns, without=deltas.writer(kind, source))
         taken_back = others.join(fresh, "bot_name", "left_semi").withColumn("pv", -F.col("pv"))
-        self.append("pv_history", fold(fresh.select("bot_name", "pv").unionByName(taken_back)), source, batch)
+        self.append("pv_history", fold(fresh.select("bot_name", "pv").unionByName(taken_back)), source, batch, kind)
+
+    def arrival(self, job: str, given: datetime | str | None = None) -> str:
+        """When a job's rows arrived: as given, else as its first run noted, else now."""
+        if given is None:
+            given = deltas.recorded_arrival(self.spark, self.path("first_seen"), "job", job)
+        return str(given) if given else self.spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+
+    def correct(self, table: str, keys: DataFrame) -> None:
+        """Drop what the table says under ``keys`` now; what is written later counts again."""
+        deltas.mask(self.path(table), keys)
 
-    def compact(self, source: str, recent: bool = False) -> None:
+    def compact(self, source: str, kind: str = "stream", every: int | None = None) -> None:
         for table, (columns, fold) in self.TABLES.items():
-            deltas.compact(self.spark, self.path(table), source, columns, fold, recent)
+            of, by_day = deltas.writer(kind, source), table in self.BY_DAY
+            deltas.compact(self.spark, self.path(table), of, columns, fold, by_day, every)
 
-    def vacuum(self) -> None:
-        for table in self.TABLES:
-            deltas.vacuum(self.spark, self.path(table))
+    def vacuum(self, hours: float = 24.0) -> int:
+        return sum(deltas.vacuum(self.spark, self.path(table), hours) for table in self.TABLES)
 
     # --- reading ---
 
@@ -107,7 +119,12 @@ class KpiStore:
     def qps_product(self) -> DataFrame:
         return _sum("requests", "product", "day", "second")(self.rows("qps"))
 
+    def overall_totals(self) -> DataFrame:
+        """Total PV and UV over the bots."""
+        uv = self.users_total().agg(F.lit(0).cast("bigint").alias("pv"), F.count(F.lit(1)).alias("uv"))
+        pv = self.rows("pv_total").agg(F.coalesce(F.sum("pv"), F.lit(0)).alias("pv"), F.lit(0).cast("bigint").alias("uv"))
+        return pv.unionByName(uv).agg(F.sum("pv").alias("pv"), F.sum("uv").alias("uv"))
 
-def arrival(moment: datetime | str | None) -> Column:
-    """When a batch job's rows arrived: the given moment, else now."""
-    return F.current_timestamp() if moment is None else F.lit(moment).cast("timestamp")
+    def overall_by_day(self) -> DataFrame:
+        """PV, UV and new UV of each day over the bots, without a look at the log."""
+        return kpi.overall_of(self.pv_day(), self.users_day(), self.new_users_day())

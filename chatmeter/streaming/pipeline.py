@@ -2,7 +2,7 @@
 
 Streams need no watermark: a late request is counted on its own day. No state is kept in the
 stream either, except by ``start_users_day``; the tables are the state. A restarted query repeats
-at most its last batch, under the same number, and so replaces what that batch had written.
+at most its last batch, under the same number, which takes the place of what it had written.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ PROCESSING_TIME_CASE_SENSITIVE = PROCESSING_TIME | {"ignore_case": False}
 
 EVERY_SECOND = {"processingTime": "1 second"}
 ONCE = {"availableNow": True}
+UPKEEP = 100  # batches after which a stream compacts
 
 
 def cleaned(lines: DataFrame, **options) -> DataFrame:
@@ -52,14 +53,21 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 
 def write_pv(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
     with kept(kpi.pv_day(requests)) as by_day:
-        store.append("pv_day", by_day, source, batch)
-        store.append("pv_total", by_day.groupBy("bot_name").agg(F.sum("pv").alias("pv")), source, batch)
+        _append_pv(store, by_day, source, batch)
+
+
+def _append_pv(store: KpiStore, by_day: DataFrame, source: str, batch: int) -> None:
+    store.append("pv_day", by_day, source, batch)
+    store.append("pv_total", by_day.groupBy("bot_name").agg(F.sum("pv").alias("pv")), source, batch)
+
+
+def per_second(requests: DataFrame) -> DataFrame:
+    """Requests per product, bot and second, the common grain of both QPS tables and of the page views."""
+    return requests.groupBy("product", "bot_name", "day", "second").agg(F.count(F.lit(1)).alias("requests"))
 
 
 def write_qps(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
-    """Requests per product, bot and second, the common grain of both QPS tables."""
-    per_second = requests.groupBy("product", "bot_name", "day", "second")
-    store.append("qps", per_second.agg(F.count(F.lit(1)).alias("requests")), source, batch)
+    store.append("qps", per_second(requests), source, batch)
 
 
 def write_new_users(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
@@ -80,10 +88,15 @@ def write_users(store: KpiStore, requests: DataFrame, source: str, batch: int) -
 
 
 def write_all(store: KpiStore, requests: DataFrame, source: str, batch: int) -> None:
-    """All tables from one cleaned batch, which is parsed once and kept for the three branches."""
+    """All tables from one cleaned batch, which is parsed once and kept for the two branches.
+
+    Page views are summed from the requests per second, not counted over the requests again.
+    """
     with kept(requests) as requests:
-        for write in (write_pv, write_qps, write_users):
-            write(store, requests, source, batch)
+        with kept(per_second(requests)) as seconds:
+            store.append("qps", seconds, source, batch)
+            _append_pv(store, seconds.groupBy("bot_name", "day").agg(F.sum("requests").alias("pv")), source, batch)
+        write_users(store, requests, source, batch)
 
 
 # --- queries ------------------------------------------------------------------------------------
@@ -96,16 +109,21 @@ def start_kpis(
     source: str,
     write: Callable[[KpiStore, DataFrame, str, int], None] = write_all,
     trigger: dict = EVERY_SECOND,
+    upkeep: int = UPKEEP,
     **cleaning,
 ) -> StreamingQuery:
     """Run ``write`` on each cleaned micro-batch of ``lines`` (topic, value).
 
     ``source`` names the stream and must stay the same over restarts, as must ``checkpoint``: from
-    there the query goes on where it stopped, or starts anew when the folder is empty.
+    there the query goes on where it stopped, or starts anew when the folder is empty. Every ``upkeep``
+    batches the stream compacts its batches by levels and deletes what is obsolete for a day; 0: never.
     """
 
     def action(batch: DataFrame, batch_id: int) -> None:
         write(store, batch, source, batch_id)
+        if upkeep and (batch_id + 1) % upkeep == 0:
+            store.compact(source, every=upkeep)
+            store.vacuum()
 
     return per_batch(cleaned(lines, **cleaning), action, checkpoint).queryName(source).trigger(**trigger).start()
 
@@ -135,6 +153,6 @@ def start_word_count(lines: DataFrame, table: str, checkpoint: str, trigger: dic
     """Word counts of each micro-batch, no running total."""
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        deltas.write_delta(word_count(batch).to(WORD_COUNTS), table, "words", batch_id)
+        deltas.write_delta(word_count(batch).to(WORD_COUNTS), table, "stream", "words", batch_id)
 
     return per_batch(lines, action, checkpoint).trigger(**trigger).start()

@@ -2,7 +2,12 @@
 
 import datetime as dt
 
+import pytest
+
+import chatmeter.__main__ as cli
 from chatmeter.__main__ import run
+from chatmeter.plans.jobs import read_published
+from chatmeter.sources.readers import as_dimension
 from chatmeter.sources.store import KpiStore
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -34,11 +39,47 @@ def test_jobs_by_command(spark, rows, tmp_path):
     ]
     run(spark, ["compact", root, "s"])
 
-    into = str(tmp_path / "rolled")
-    run(spark, ["rollback-day", root, "2024-01-02", into, "--dimension", str(tmp_path / "dim"), "--type", "children"])
-    assert rows(store.with_table("first_seen", into).users_total()) == [("a", "u1")]
-    run(spark, ["purge-pv", root, str(tmp_path / "purged"), "a", "c"])
-    assert rows(store.with_table("pv_total", str(tmp_path / "purged")).pv_total()) == [("b", 2)]
-    run(spark, ["publish", root, str(tmp_path / "out"), "--table", f"first_seen={into}"])
-    assert rows(spark.read.parquet(str(tmp_path / "out/users_total"))) == [("a", "u1")]
-    assert rows(store.users_total()) == [("a", "u1"), ("b", "u2")]
+    published = str(tmp_path / "out")
+    run(spark, ["publish", root, published])
+    run(spark, ["rollback-day", root, "2024-01-02", "--dimension", str(tmp_path / "dim"), "--type", "children"])
+    assert rows(store.users_total()) == [("a", "u1")]
+    run(spark, ["purge-pv", root, "a", "c"])
+    assert rows(store.pv_total()) == [("b", 2)]
+    run(spark, ["purge-bots", root])
+    run(spark, ["vacuum", root, "--hours", "0"])
+    run(spark, ["publish", root, published])
+    assert rows(read_published(spark, published, "users_total")) == [("a", "u1")]
+    run(spark, ["backfill-days", root, str(folder), "--job", "first", "--arrived", "2024-03-01 00:00:00", "--recursive"])
+    assert rows(store.users_total()) == [("a", "u1")]
+
+
+@pytest.mark.parametrize("more", [["--type", "children"], ["--dimension", "x"], ["--url", "jdbc:x"]])
+def test_a_type_needs_a_dimension_and_the_other_way_round(spark, tmp_path, more):
+    with pytest.raises(SystemExit):
+        run(spark, ["rollback-day", str(tmp_path), "2024-01-02", *more])
+
+
+def test_kafka_and_database_options_are_reachable(spark, monkeypatch, tmp_path):
+    seen = {}
+
+    def stop(*args, **settings):
+        seen.update(settings, args=args[1:])
+        raise InterruptedError
+
+    monkeypatch.setattr(cli, "stream_kafka", stop)
+    stream = ["stream", "s", "--source", "s", "--checkpoint", "c", "--brokers", "h1", "h2", "--topics", "t"]
+    with pytest.raises(InterruptedError):
+        run(spark, [*stream, "--starting", "earliest", "--max-per-trigger", "500"])
+    assert seen == {"args": (["h1", "h2"], ["t"]), "starting": "earliest", "max_per_trigger": 500}
+    seen.clear()
+    monkeypatch.setattr(cli, "read_dimension", stop)
+    (tmp_path / "pw").write_text("secret-word\n")
+    back = ["rollback-day", "s", "2024-01-02", "--type", "x", "--dimension", "bots", "--url", "jdbc:db:x", "--user", "me"]
+    with pytest.raises(InterruptedError):
+        run(spark, [*back, "--password-file", str(tmp_path / "pw")])
+    assert seen == {"args": ("jdbc:db:x", "bots", "me", "secret-word")}
+
+
+def test_the_database_column_is_mapped(spark, rows):
+    table = spark.createDataFrame([(1, "adult", "a")], "id int, TYPE string, botname string")
+    assert rows(as_dimension(table)) == [("adult", "a")]

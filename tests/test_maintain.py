@@ -1,11 +1,11 @@
-"""Corrections: twice is once, nothing is nothing."""
+"""What corrections are about."""
 
 import datetime as dt
 
 import pytest
 
 from chatmeter.operators import maintain
-from chatmeter.schema import DIM_BOT, FIRST_SEEN_DELTA, USERS_DAY, USERS_TOTAL
+from chatmeter.schema import DIM_BOT, USERS_DAY, USERS_TOTAL
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
@@ -17,48 +17,15 @@ def tables(spark):
     return users, new
 
 
-def test_rollback_of_a_day(tables, rows):
-    users, new = tables
-    removed = maintain.users_to_roll_back(new, "2024-01-02")
-    assert rows(maintain.rollback_users(users, removed)) == [("a", "u1"), ("b", "old")]
-    left = maintain.rollback_new_users(new, removed)
-    assert rows(left) == [("a", D1, "u1")]
-    again = maintain.users_to_roll_back(left, "2024-01-02")
-    assert rows(again) == []
-    assert rows(maintain.rollback_users(users, again)) == rows(users)
+def test_users_of_a_day(tables, rows):
+    _, new = tables
+    assert rows(maintain.users_to_roll_back(new, "2024-01-02")) == [("a", D2, "u2"), ("b", D2, "u1"), ("b:x", D2, "u3")]
+    assert rows(maintain.users_to_roll_back(new, "2024-01-03")) == []
 
 
-def test_rollback_of_the_bots_of_a_type(spark, tables, rows):
-    users, new = tables
+def test_users_of_a_day_and_type(spark, tables, rows):
+    _, new = tables
     dim = spark.createDataFrame([("children", "b"), ("children", "b"), ("adult", "a")], DIM_BOT)
     bots = maintain.bots_of_type(dim, "children")
     assert rows(bots) == [("b",)]
-    removed = maintain.users_to_roll_back(new, "2024-01-02", bots)
-    assert rows(removed) == [("b", D2, "u1")]
-    assert rows(maintain.rollback_users(users, removed)) == [("a", "u1"), ("a", "u2"), ("b", "old"), ("b:x", "u3")]
-    assert rows(maintain.rollback_new_users(new, removed)) == [("a", D1, "u1"), ("a", D2, "u2"), ("b:x", D2, "u3")]
-
-
-def test_forgetting_first_seen_users(spark, rows):
-    when = dt.datetime(2024, 1, 1)
-    data = [("a", "u1", D1, when), ("a", "u2", D2, when), ("b", "u1", D2, when), ("b", "u9", None, when)]
-    seen = spark.createDataFrame(data, FIRST_SEEN_DELTA)
-    left = maintain.forget_first_seen(seen, "2024-01-02")
-    assert rows(left, "bot_name", "user_id") == [("a", "u1"), ("b", "u9")]
-    bots = spark.createDataFrame([("b",)], "bot_name string")
-    left = maintain.forget_first_seen(seen, "2024-01-02", bots)
-    assert rows(left, "bot_name", "user_id") == [("a", "u1"), ("a", "u2"), ("b", "u9")]
-
-
-def test_purge(tables, rows):
-    users, _ = tables
-    assert rows(maintain.purge_bots(users, ["b", "none"])) == [("a", "u1"), ("a", "u2"), ("b:x", "u3")]
-    assert rows(maintain.purge_bots(users, [])) == rows(users)
-
-
-def test_merging_history_twice_is_merging_once(spark, rows):
-    live = spark.createDataFrame([("a", "stream", 3)], "bot_name string, source string, pv bigint")
-    history = spark.createDataFrame([("a", 10), ("b", 20)], "bot_name string, pv bigint")
-    once = maintain.merge_history(live, history)
-    assert rows(maintain.pv_of_sources(once)) == [("a", 13), ("b", 20)]
-    assert rows(maintain.merge_history(once, history)) == rows(once)
+    assert rows(maintain.users_to_roll_back(new, "2024-01-02", bots)) == [("b", D2, "u1")]

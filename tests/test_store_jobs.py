@@ -1,12 +1,15 @@
 """Delta tables, backfill jobs and corrections of a store."""
 
 import datetime as dt
+import json
+import pathlib
 
 import pytest
 
+from chatmeter import session
 from chatmeter.operators import maintain
 from chatmeter.plans import jobs
-from chatmeter.schema import PV_TOTAL
+from chatmeter.schema import PV_DAY, PV_TOTAL, QPS_DELTA
 from chatmeter.sources import deltas
 from chatmeter.sources.store import KpiStore
 
@@ -51,44 +54,72 @@ def test_batches_add_up_and_a_repeated_batch_replaces_itself(spark, store, rows)
     assert rows(store.pv_total()) == [("a", 13), ("b", 1)]
 
 
+def spans(spark, store, table):
+    """(writer, first, last) of what counts."""
+    return sorted((w, e.first, e.last) for w, e in deltas.entries(spark, store.path(table)))
+
+
 def test_compaction_changes_nothing_but_the_folders(spark, store, rows):
     for batch in range(4):
         store.append("pv_total", pv(spark, ("a", 1), ("b", batch)), "s", batch)
     store.append("pv_total", pv(spark, ("a", 100)), "t", 0)
     want = rows(store.pv_total())
     store.compact("s")
-    assert ("s", 0, 3) in deltas.committed(spark, store.path("pv_total"))
+    assert spans(spark, store, "pv_total") == [("stream=s", 0, 3), ("stream=t", 0, 0)]
     assert rows(store.pv_total()) == want
+    store.append("pv_total", pv(spark, ("a", 50)), "s", 3)  # repeated, and folded already
     store.append("pv_total", pv(spark, ("c", 5)), "s", 4)
     assert rows(store.pv_total()) == want + [("c", 5)]
-    store.vacuum()
-    assert sorted(deltas.committed(spark, store.path("pv_total"))) == [("s", 0, 3), ("s", 4, 4), ("t", 0, 0)]
+    assert store.vacuum() == 0 and store.vacuum(hours=0) == 4
     assert rows(store.pv_total()) == want + [("c", 5)]
     store.compact("s")
     store.compact("s")
-    store.vacuum()
-    assert sorted(deltas.committed(spark, store.path("pv_total"))) == [("s", 0, 4), ("t", 0, 0)]
+    assert spans(spark, store, "pv_total") == [("stream=s", 0, 4), ("stream=t", 0, 0)]
     assert rows(store.pv_total()) == want + [("c", 5)]
 
 
-def test_compaction_of_recent_folders_leaves_the_older_ones(spark, store, rows):
-    for batch in range(6):
+def test_compaction_by_levels_keeps_few_entries(spark, store, rows):
+    for batch in range(14):
         store.append("pv_total", pv(spark, ("a", 1)), "s", batch)
-        if batch == 2:
-            store.compact("s")
-    store.compact("s", recent=True)
-    store.vacuum()
-    assert sorted(deltas.committed(spark, store.path("pv_total"))) == [("s", 0, 2), ("s", 3, 5)]
-    assert rows(store.pv_total()) == [("a", 6)]
+        store.compact("s", every=3)
+    assert spans(spark, store, "pv_total") == [("stream=s", 0, 8), ("stream=s", 9, 11), ("stream=s", 12, 12), ("stream=s", 13, 13)]
+    assert rows(store.pv_total()) == [("a", 14)]
+
+
+def test_a_reader_opens_one_log_file_however_many_batches_there_were(spark, store, rows, tmp_path):
+    version, entry = 10_000, [{"first": 0, "last": 9_999, "data": "x", "days": [], "arrived": None, "masks": []}]
+    log = tmp_path / "store/pv_total/_log/stream=s"
+    log.mkdir(parents=True)
+    (log / f"{version:012d}.json").write_text(json.dumps(entry))
+    pv(spark, ("a", 10_000)).write.parquet(str(tmp_path / "store/pv_total/data/batch=x"))
+    for batch in range(10_000, 10_020):
+        store.append("pv_total", pv(spark, ("a", 1)), "s", batch)
+    assert rows(store.pv_total()) == [("a", 10_020)]
+    assert len(list(log.glob("*.json"))) <= 6
 
 
-def test_an_unfinished_folder_is_not_read(spark, store, rows, tmp_path):
+def test_an_unfinished_batch_is_not_read_and_no_marker_file_is_needed(spark, store, rows, tmp_path):
     store.append("pv_total", pv(spark, ("a", 1)), "s", 0)
-    store.append("pv_total", pv(spark, ("a", 2)), "s", 1)
-    (tmp_path / "store/pv_total/source=s/batches=1-1/_SUCCESS").unlink()
+    pv(spark, ("a", 2)).write.parquet(str(tmp_path / "store/pv_total/data/batch=lost"))
+    for marker in (tmp_path / "store").rglob("*_SUCCESS*"):
+        marker.unlink()
     assert rows(store.pv_total()) == [("a", 1)]
 
 
+def test_a_job_and_a_stream_of_one_name_are_kept_apart(spark, store, write, rows):
+    store.append("pv_total", pv(spark, ("b", 100)), "adult", 0)
+    jobs.backfill_days(store, write("a.log", log("b", "u1")), "adult")
+    assert rows(store.pv_total()) == [("b", 101)]
+
+
+def test_a_small_batch_is_one_file_a_table(spark, store, tmp_path):
+    seconds = spark.createDataFrame([("x", f"b{i}", D1, "t", 1) for i in range(40)], QPS_DELTA).repartition(50)
+    store.append("qps", seconds, "s", 0)
+    store.append("pv_total", seconds.groupBy("bot_name").agg({"requests": "sum"}).toDF("bot_name", "pv"), "s", 0)
+    assert len(list((tmp_path / "store/qps").rglob("part-*.parquet"))) == 1
+    assert len(list((tmp_path / "store/pv_total").rglob("part-*.parquet"))) == 1
+
+
 def test_source_names_are_checked(spark, store):
     with pytest.raises(ValueError):
         store.append("pv_total", pv(spark, ("a", 1)), "a/b", 0)
@@ -155,51 +186,121 @@ def test_backfill_of_a_folder_of_files(store, write, rows, tmp_path):
 # --- corrections --------------------------------------------------------------------------------
 
 
-def test_rolled_back_users_can_be_new_again(spark, store, write, rows, tmp_path):
+def test_rolled_back_users_can_be_new_again(spark, store, write, rows):
     path = write("a.log", log("a", "u1"), log("a", "u2", "2024-01-02"), log("b", "u2", "2024-01-02"))
     jobs.backfill_days(store, path, "first", arrived="2024-02-01 00:00:00")
-    bots = spark.createDataFrame([("b",)], "bot_name string")
-    of_type = jobs.rollback_day(store, "2024-01-02", str(tmp_path / "c1"), bots)
-    assert rows(of_type.users_total()) == [("a", "u1"), ("a", "u2")]
-    everyone = jobs.rollback_day(store, "2024-01-02", str(tmp_path / "c2"))
-    assert rows(everyone.users_total()) == rows(everyone.new_users_day(), "bot_name", "user_id") == [("a", "u1")]
-    assert rows(everyone.pv_total()) == [("a", 2), ("b", 1)]
-    twice = jobs.rollback_day(everyone, "2024-01-02", str(tmp_path / "c3"))
-    assert rows(twice.users_total()) == [("a", "u1")]
-    jobs.backfill_days(twice, write("b.log", log("a", "u2", "2024-01-01")), "later", arrived="2024-02-03 00:00:00")
-    assert rows(twice.new_users_day()) == [("a", D1, "u1"), ("a", D1, "u2")]
-    # The corrected tables are new ones; the store as it was has not changed.
-    assert rows(store.users_total()) == [("a", "u1"), ("a", "u2"), ("b", "u2")]
-
-
-def test_purges(store, write, rows, tmp_path):
-    jobs.backfill_days(store, write("a.log", log("a", "u1"), log("b", "u2")), "first")
-    purged = jobs.purge_pv(jobs.purge_bots(store, ["b"], str(tmp_path / "u")), ["a"], str(tmp_path / "p"))
-    assert rows(purged.users_total()) == [("a", "u1")]
-    assert rows(purged.pv_total()) == [("b", 1)]
-    unchanged = jobs.purge_pv(store, [], str(tmp_path / "q"))
-    assert rows(unchanged.pv_total()) == rows(store.pv_total())
+    jobs.rollback_day(store, "2024-01-02", spark.createDataFrame([("b",)], "bot_name string"))
+    assert rows(store.users_total()) == [("a", "u1"), ("a", "u2")]
+    for _ in range(2):
+        jobs.rollback_day(store, "2024-01-02")
+        assert rows(store.users_total()) == rows(store.new_users_day(), "bot_name", "user_id") == [("a", "u1")]
+    assert rows(store.pv_total()) == [("a", 2), ("b", 1)]
+    jobs.backfill_days(store, write("b.log", log("a", "u2", "2024-01-01")), "later", arrived="2024-02-03 00:00:00")
+    assert rows(store.new_users_day()) == [("a", D1, "u1"), ("a", D1, "u2")]
 
 
-def test_publish_writes_one_folder_per_day(spark, store, write, rows, tmp_path):
-    jobs.backfill_days(store, write("a.log", log("a", "u1"), log("a", "u2", "2024-01-02")), "first")
+def test_purges(store, write, rows):
+    jobs.backfill_days(store, write("a.log", log("a", "u1"), log("b", "u2")), "first")
+    jobs.purge_pv(store, [])
+    assert rows(store.pv_total()) == [("a", 1), ("b", 1)]
+    jobs.purge_bots(store, ["b"])
+    jobs.purge_pv(store, ["a"])
+    assert rows(store.users_total()) == [("a", "u1")]
+    assert rows(store.pv_total()) == [("b", 1)]
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_repeats_after_a_correction_change_nothing(spark, store, write, rows, compacted):
+    path = write("a.log", log("a", "u1"), log("a", "u2", "2024-01-02"), log("b", "u3"))
+    later = write("b.log", log("a", "u2"), log("b", "u4"))
+    history = write("x.tsv", "1\ta", "2\tb", "3\tb")
+    stream = [pv(spark, ("a", 10)), pv(spark, ("b", 5))]
+
+    def work():
+        jobs.backfill_days(store, path, "first")
+        jobs.backfill_days(store, later, "second")
+        jobs.rebuild_history(store, history, "extract")
+        jobs.merge_history(store)
+        store.append("pv_total", stream[1], "live", 1)
+
+    def state():
+        return [rows(t) for t in (store.pv_total(), store.pv_history(), store.users_total(), store.new_users_day())]
+
+    store.append("pv_total", stream[0], "live", 0)
+    work()
+    for correct in (
+        lambda: jobs.purge_pv(store, ["a"]),
+        lambda: jobs.rollback_day(store, "2024-01-02"),
+        lambda: jobs.purge_bots(store, ["b"]),
+    ):
+        correct()
+        if compacted:
+            store.compact("live")
+            store.compact("first", "job")
+            store.vacuum(hours=0)
+        want = state()
+        work()
+        assert state() == want
+    assert want == [[("b", 9)], [("a", 1), ("b", 2)], [("a", "u1")], [("a", D1, "u1")]]
+
+
+def test_repeating_a_backfill_moves_no_first_day(store, write, rows):
+    first, second = write("a.log", log("a", "u1", "2024-01-02")), write("b.log", log("a", "u1", "2024-01-01"))
+    jobs.backfill_days(store, first, "a")
+    jobs.backfill_days(store, second, "b")
+    jobs.backfill_days(store, first, "a")
+    assert rows(store.new_users_day()) == [("a", D2, "u1")]
+
+
+def test_of_batches_that_arrive_together_the_earliest_day_counts(store, write, rows):
+    for name, day in (("a", "2024-01-02"), ("b", "2024-01-01")):
+        jobs.backfill_days(store, write(name, log("a", "u1", day)), name, arrived="2024-02-01 00:00:00")
+    assert rows(store.new_users_day()) == [("a", D1, "u1")]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_publish_writes_new_versions_of_what_changed(spark, store, write, rows, tmp_path, mode):
+    requests = [("a", D1, 3), ("b", D2, 4)]
     out = str(tmp_path / "published")
-    jobs.publish(store, out)
-    new = spark.read.parquet(f"{out}/new_users_day")
-    assert rows(new, "bot_name", "day", "user_id") == rows(store.new_users_day())
-    assert {p.name for p in (tmp_path / "published/new_users_day").glob("day=*")} == {"day=2024-01-01", "day=2024-01-02"}
-    assert rows(spark.read.parquet(f"{out}/pv_total")) == [("a", 2)]
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        jobs.backfill_days(store, write("a.log", log("a", "u1"), log("a", "u2", "2024-01-02")), "first")
+        for batch, row in enumerate(requests):
+            store.append("pv_day", spark.createDataFrame([row], PV_DAY), "live", batch)
+        jobs.publish(store, out)
+        assert rows(jobs.read_published(spark, out, "pv_day")) == requests
+        jobs.rollback_day(store, "2024-01-02")
+        store.append("pv_day", spark.createDataFrame([("a", D2, 1)], PV_DAY), "live", 2)
+        jobs.publish(store, out)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    # The emptied day is gone, the untouched day was not written again, and nothing else is lost.
+    new = jobs.read_published(spark, out, "new_users_day")
+    assert rows(new, "bot_name", "day", "user_id") == rows(store.new_users_day()) == [("a", D1, "u1")]
+    assert rows(jobs.read_published(spark, out, "pv_day")) == rows(store.pv_day()) == [("a", D1, 3), ("a", D2, 1), ("b", D2, 4)]
+    assert {p.name for p in (tmp_path / "published/data/table=pv_day/version=2").glob("day=*")} == {"day=2024-01-02"}
+    assert rows(jobs.read_published(spark, out, "pv_total")) == [("a", 2)]
+    assert rows(jobs.read_published(spark, out, "users_day")) == []
+    assert rows(jobs.read_published(spark, out, "overall_totals")) == [(2, 1)]
 
 
 def test_a_rollback_reads_one_day_of_the_published_table(spark, store, write, tmp_path, capsys):
     jobs.backfill_days(store, write("a.log", log("a", "u1"), log("a", "u2", "2024-01-02")), "first")
     jobs.publish(store, str(tmp_path / "published"))
-    new = spark.read.parquet(str(tmp_path / "published/new_users_day"))
+    new = jobs.read_published(spark, str(tmp_path / "published"), "new_users_day")
     maintain.users_to_roll_back(new, "2024-01-02").explain()
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(day" in plan and "= 2024-01-02)]" in plan
 
 
+def test_jobs_leave_no_scratch_tables(spark, store, write, monkeypatch):
+    made = []
+    monkeypatch.setattr(session, "scratch_dir", lambda *a, f=session.scratch_dir: made.append(f(*a)) or made[-1])
+    jobs.backfill_days(store, write("a.log", log("a", "u1")), "first")
+    assert made and not any(pathlib.Path(p).exists() for p in made)
+
+
 def test_a_backfill_scans_its_text_once(spark, store, write, monkeypatch):
     """Page views and users are both filled from the one scratch table."""
     scans = []
@@ -208,9 +309,9 @@ def test_a_backfill_scans_its_text_once(spark, store, write, monkeypatch):
     seen = []
     append = KpiStore.append
 
-    def note(self, table, df, *rest):
+    def note(self, table, df, *rest, **more):
         seen.append((table, [path for path in df.inputFiles() if path.endswith(".log")]))
-        append(self, table, df, *rest)
+        append(self, table, df, *rest, **more)
 
     monkeypatch.setattr(KpiStore, "append", note)
     jobs.backfill_days(store, write("a.log", log("a", "u1")), "first")
