@@ -103,6 +103,7 @@ def exponent(sources: DataFrame, total: int, number: int, target: Target) -> tup
 
 def schedule(docs: DataFrame, target: Target) -> DataFrame:
     """(_source, _block, _epoch, _place) of every reading of a block."""
+    docs = docs.select("doc_id", "source", "text")
     blocks = saved(_keyed(docs, target.seed).groupBy("_source", "_block").agg(F.sum("_tokens").alias("n")), "blocks")
     sources = saved(blocks.groupBy("_source").agg(F.sum("n").alias("all")), "sources")
     total, number = sources.where("all > 0").agg(F.sum("all"), F.count("*")).first()
@@ -125,18 +126,20 @@ def schedule(docs: DataFrame, target: Target) -> DataFrame:
 
 
 def mixed(docs: DataFrame, target: Target) -> DataFrame:
-    """The columns of ``docs`` with ``mix_epoch`` and ``mix_place``: a row for each reading of a document."""
+    """The columns of ``docs`` followed by ``mix_epoch`` and ``mix_place``: a row for each reading of a document."""
     plan = saved(schedule(docs, target), "schedule")
     if plan.count() <= SMALL:  # sources times blocks times passes; checked, as sources may be many
         plan = F.broadcast(plan)
-    rows = _keyed(docs, target.seed).join(plan, ["_source", "_block"])
-    return rows.select(*[docs[c] for c in docs.columns], F.col("_epoch").alias("mix_epoch"), F.col("_place").alias("mix_place"))
+    # A row travels as one struct, so no name in it can clash.
+    rows = _keyed(docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text"), target.seed).drop("text")
+    return rows.join(plan, ["_source", "_block"]).select("_row.*", F.col("_epoch").alias("mix_epoch"), F.col("_place").alias("mix_place"))
 
 
 def counted(docs: DataFrame, target: Target) -> DataFrame:
     """(doc_id, source, tokens, block, copies): how often the mix reads each document, 0 included."""
     plan = saved(schedule(docs, target).groupBy("_source", "_block").agg(F.count("*").alias("copies")), "copies")
-    rows = _keyed(docs, target.seed).select("doc_id", "source", F.col("_tokens").alias("tokens"), "_source", "_block")
+    rows = _keyed(docs.select("doc_id", "source", "text"), target.seed)
+    rows = rows.select("doc_id", "source", F.col("_tokens").alias("tokens"), "_source", "_block")
     if plan.count() <= SMALL:
         plan = F.broadcast(plan)
     rows = rows.join(plan, ["_source", "_block"], "left")

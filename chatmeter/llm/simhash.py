@@ -177,10 +177,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segmen
 
 
 def deduplicated(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group; of repeated ids, one row."""
-    marks = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id") == F.col("component_id"))
-    ids = saved(marks.groupBy("doc_id").agg((F.count("*") > 1).alias("repeated")), "kept")
-    single = docs.join(ids.where(~F.col("repeated")), "doc_id", "left_semi")
-    if not ids.where("repeated").isEmpty():
-        single = single.unionByName(docs.join(ids.where("repeated"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return single.select(*docs.columns)
+    """The rows of ``docs`` but those near to one of smaller doc_id. Of a repeated doc_id one row stays;
+    rows without a doc_id all stay."""
+    marks = near_duplicates(docs, shingle, max_bits)
+    first = F.col("doc_id") == F.col("component_id")
+    ids = saved(marks.groupBy("doc_id").agg(F.max(first).alias("kept"), (F.count("*") > 1).alias("repeated")), "ids")
+    out = docs.join(ids.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti")
+    again = ids.where("kept and repeated").select("doc_id")
+    if not again.isEmpty():
+        one = out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        out = out.join(again, "doc_id", "left_anti").unionByName(one)
+    return out.select(*docs.columns)

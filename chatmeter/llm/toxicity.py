@@ -292,24 +292,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # Labelled ids in hash order, bounded before they meet the texts.
     some = usable.where("toxic = 1").orderBy(F.xxhash64("_id")).limit(2 * sample)
     some = saved(some.unionByName(usable.where("toxic = 0").orderBy(F.xxhash64("_id")).limit(2 * sample)), "labelled")
-    return learn(docs.join(F.broadcast(some), docs["doc_id"].cast("long") == some["_id"]).select(docs["text"].cast("string").alias("text"), "toxic"), sample)
+    return learn(docs.join(F.broadcast(some), docs["doc_id"].cast("long") == some["_id"]).select(docs["text"].cast("string").alias("text"), some["toxic"]), sample)
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with ``score``, from 0 to 1."""
-    columns = keep or docs.columns
-    schema = docs.select(*columns).schema.add("score", "double")
-    source = docs.select(*[docs[c] for c in columns], docs["text"].cast("string").alias("_text"))
+def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` (none of them ``score``) of ``docs`` with ``score``, from 0 to 1."""
+    schema = docs.select(*keep).schema.add("score", "double")
+    source = docs.select(*[docs[c] for c in keep], docs["text"].cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = Matcher(model.entries)
         for batch in slices(batches, "_text"):
             scores = [min(1.0, model.score(hits(x, match))) for x in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*keep, "score"])
 
     return source.mapInArrow(run, schema)
 
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose score is under ``threshold``."""
-    return scored(docs, train(docs, labels)).where(F.col("score") < threshold).drop("score")
+    """The rows of ``docs``, whole, whose score is under ``threshold``."""
+    model = train(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        match = Matcher(model.entries)
+        for batch in slices(batches, "text"):
+            fine = [model.score(hits(x, match)) < threshold for x in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(fine, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -35,7 +35,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reads every document once, and blocks of small sources once more, by the temperature's weights."""
-    return mixing.mixed(docs, mixing.Target(repeats=REPEATS)).select(*docs.columns)
+    return mixing.mixed(docs, mixing.Target(repeats=REPEATS)).drop("mix_epoch", "mix_place")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
