@@ -1,13 +1,15 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 Codes are cut into segments of about log2(rows) bits, and each row's code is listed under each of its
-segment values. Rows with the same code are kept as their smallest ids, k + 1 of them, as no others can be among k
+segment values. Rows with the same code are kept as their smallest ids, k and one more, as no others can be among k
 results. A query looks up, segment by segment, the values at Hamming distance r from its own, for r = 0, 1, ...
 When all segments are searched to radius r, every code nearer than segments * (r + 1) has been
 met. A query ends as soon as its k-th verified distance is under that; the others search on.
 
-Equal query codes are searched once. Candidates are cut to the k + 1 best of a query before they are
-exchanged. Ties go to the smaller id, and a query's own row is no result of it.
+The index of a segment is cut into cells by the leading bits of its values; a query goes to the cells whose
+bits are within the radius, and looks up the rest of its ball there. So a ball is enumerated in the tasks that
+hold the rows, and only the best candidates of a query leave a cell. Equal query codes are
+searched once. Ties go to the smaller id, and a query's own row is no result of it.
 
 Edge cases: vectors that are null, empty or hold null components have no code: they are neither found nor
 answered; rows without id are left out; with fewer than k other rows all are returned; of rows that
@@ -17,14 +19,19 @@ repeat an id each counts, but for the query's own id; an empty table gives an em
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmeter.llm.tables import saved
 
 BITS = 64
+CELL = 8192  # rows of a cell of the index, about
 
 
 def sign_code(vector: Column) -> Column:
@@ -40,16 +47,14 @@ def _segments(rows: int) -> list[tuple[int, int]]:
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
 
-def _value(code: Column, number: int, offset: int, width: int) -> Column:
-    return F.shiftrightunsigned(code, offset).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(number << 40)
+def _value(code: Column, offset: int, width: int) -> Column:
+    return F.shiftrightunsigned(code, offset).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _best(rows: DataFrame, k: int, times: int) -> DataFrame:
-    """The k nearest of each query code. A row may have been met ``times`` times and counts once; so
-    many more are kept on the map side, which bounds what is exchanged."""
+def _best(rows: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each query code; a row that was met several times counts once."""
     order = Window.partitionBy("q").orderBy("distance", "id", "copy")
-    some = rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k * times).drop("_n")
-    return some.distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n")
+    return rows.distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n")
 
 
 def _fewest(codes: DataFrame, k: int) -> DataFrame:
@@ -60,41 +65,108 @@ def _fewest(codes: DataFrame, k: int) -> DataFrame:
     return some.withColumn("_n", F.row_number().over(all_)).where(F.col("_n") <= k).drop("_n")
 
 
-def search(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def _patterns(width: int, radius: int) -> np.ndarray:
+    """All numbers of ``width`` bits of which ``radius`` are set."""
+    return np.array([sum(1 << i for i in picked) for picked in combinations(range(width), radius)], np.int64)
+
+
+def _asked(parts: list, prefix: int, radius: int):
+    """Sends a query code, for each segment, to all prefixes within the radius, with the radius left for the rest."""
+    near = [(x, bin(x).count("1")) for x in range(1 << prefix)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q = batch.column("q").to_numpy()
+            for n, (offset, width) in parts:
+                value = (q.view(np.uint64) >> np.uint64(offset) & np.uint64((1 << width) - 1)).astype(np.int64)
+                for x, used in near:
+                    if used <= radius and radius - used <= width - prefix:
+                        cell = (value >> (width - prefix) ^ x) + (n << 40)
+                        rest = value & ((1 << (width - prefix)) - 1)
+                        left = np.full(len(q), radius - used, np.int32)
+                        yield pa.record_batch([pa.array(cell), pa.array(q), pa.array(rest), pa.array(left)], ["cell", "q", "rest", "left"])
+
+    return run
+
+
+def _probe(widths: dict[int, int], need: int):
+    """Looks the ball around each query up in one cell of the index, verifies, and keeps the best."""
+
+    def run(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(index) and len(asked):
+            index = index.sort_values("rest", kind="stable")
+            rest, code = index["rest"].to_numpy(), index["code"].to_numpy().view(np.uint64)
+            ids, copies = index["id"].to_numpy(), index["copy"].to_numpy()
+            width, balls = widths[int(index["cell"].iloc[0]) >> 40], {}
+            for q, own, left in asked[["q", "rest", "left"]].itertuples(index=False):
+                if math.comb(width, left) > len(rest):  # fewer rows than patterns: look at the rows
+                    at = np.flatnonzero(np.bitwise_count(rest ^ own) == left)
+                else:
+                    if left not in balls:
+                        balls[left] = _patterns(width, left)
+                    keys = balls[left] ^ own
+                    first, last = np.searchsorted(rest, keys, "left"), np.searchsorted(rest, keys, "right")
+                    n = last - first
+                    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                distance = np.bitwise_count(code[at] ^ np.int64(q).view(np.uint64)).astype(np.int32)
+                best = np.lexsort((copies[at], ids[at], distance))[:need]
+                out.append(pd.DataFrame({"q": q, "id": ids[at][best], "copy": copies[at][best], "distance": distance[best]}))
+        return pd.concat(out) if out else pd.DataFrame({"q": [], "id": [], "copy": [], "distance": []})
+
+    return run
+
+
+def search(
+    vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", cell: int = CELL
+) -> DataFrame:
     """(vec_id, rank, neighbor_id, distance) of the rows for which ``queries`` is true."""
     v = F.col(vector).cast("array<double>")
     fine = F.coalesce((F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull()), F.lit(False)) & F.col(vec_id).isNotNull()
     rows = vectors.where(fine).select(F.col(vec_id).cast("long").alias("id"), sign_code(v).alias("code"), queries.alias("asks"))
     codes = saved(rows, "codes")
-    table = saved(_fewest(codes.select("id", "code"), k + 1), "table")
-    parts = list(enumerate(_segments(table.count())))
-    index = saved(table.select("id", "code", "copy", F.explode(F.array(*[_value(F.col("code"), n, o, w) for n, (o, w) in parts])).alias("value")), "index")
+    # Rows of the query's own id are among what is found, and dropped in the end.
+    own = codes.groupBy("id").count().agg(F.max("count")).first()[0] or 1
+    need = k + own
+    table = saved(_fewest(codes.select("id", "code"), need), "table")
+    number = table.count()
+    parts = list(enumerate(_segments(number)))
+    prefix = min(12, max(0, (number // cell).bit_length()))  # bits of a segment that name a cell of the index
+    places = [
+        F.struct(
+            (F.shiftright(_value(F.col("code"), o, w), w - prefix) + F.lit(n << 40)).alias("cell"),
+            _value(F.col("code"), o, w).bitwiseAND(F.lit((1 << (w - prefix)) - 1)).alias("rest"),
+        )
+        for n, (o, w) in parts
+    ]
+    index = saved(table.select("id", "code", "copy", F.inline(F.array(*places))), "index")
+    # Cells of many rows are cut into parts, to each of which their queries go.
+    sizes = saved(index.groupBy("cell").agg(F.ceil(F.count("*") / (8 * cell)).cast("int").alias("parts")).where("parts > 1"), "sizes")
+    split = F.coalesce("parts", F.lit(1))
+    index = saved(index.join(sizes, "cell", "left").withColumn("part", F.pmod(F.xxhash64("id"), split).cast("int")).drop("parts"), "index")
     open_ = saved(codes.where("asks").select(F.col("code").alias("q")).distinct(), "open")
     held, done, radius = None, [], 0
+    probe = _probe({n: w - prefix for n, (_, w) in parts}, need)
     while not open_.isEmpty():
-        # Not data: the bit patterns of this radius, for each width of a segment.
-        masks = [(w, sum(1 << i for i in picked)) for w in sorted({w for _, (_, w) in parts}) for picked in combinations(range(w), radius)]
-        if masks:
-            patterns = F.broadcast(vectors.sparkSession.createDataFrame(masks, "w int, mask long"))
-            at = [F.struct(_value(F.col("q"), n, o, w).alias("at"), F.lit(w).alias("w")) for n, (o, w) in parts]
-            probes = open_.select("q", F.inline(F.array(*at))).join(patterns, "w").select("q", F.col("at").bitwiseXOR(F.col("mask")).alias("value"))
-            met = probes.join(index, "value").select("q", "id", "copy", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"))
-            held = met if held is None else held.unionByName(met)
+        asked = open_.mapInArrow(_asked(parts, prefix, radius), "cell long, q long, rest long, left int")
+        asked = asked.join(sizes, "cell", "left").withColumn("part", F.explode(F.sequence(F.lit(0), split - 1))).drop("parts")
+        met = index.groupBy("cell", "part").cogroup(asked.groupBy("cell", "part")).applyInPandas(probe, "q long, id long, copy int, distance int")
+        held = met if held is None else held.unionByName(met)
         covered = len(parts) * (radius + 1) - 1  # all codes up to this distance have been met
-        held = saved(_best(held, k + 1, len(parts) + 1), "held")
+        held = saved(_best(held, need), "held")
         state = held.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
-        state = open_.join(state, "q", "left").withColumn("ready", (F.coalesce("n", F.lit(0)) > k) & (F.col("far") <= covered) | F.lit(covered >= BITS))
-        state = saved(state.select("q", F.coalesce("ready", F.lit(False)).alias("ready")), "state")
+        ready = (F.coalesce("n", F.lit(0)) >= need) & (F.col("far") <= covered) | F.lit(covered >= BITS)
+        state = saved(open_.join(state, "q", "left").select("q", F.coalesce(ready, F.lit(False)).alias("ready")), "state")
         done.append(held.join(state.where("ready"), "q", "left_semi"))
         open_ = state.where(~F.col("ready")).select("q")
         held = held.join(open_, "q", "left_semi")
         radius += 1
-    asked = codes.where("asks").select(F.col("id").alias("vec_id"), F.col("code").alias("q")).distinct()
+    asking = codes.where("asks").select(F.col("id").alias("vec_id"), F.col("code").alias("q")).distinct()
     if not done:
-        return asked.select("vec_id", F.lit(0).alias("rank"), F.col("vec_id").alias("neighbor_id"), F.lit(0).alias("distance"))
+        return asking.select("vec_id", F.lit(0).alias("rank"), F.col("vec_id").alias("neighbor_id"), F.lit(0).alias("distance"))
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
     order = Window.partitionBy("vec_id").orderBy("distance", "id", "copy")
-    out = asked.join(found, "q").where(F.col("id") != F.col("vec_id")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    out = asking.join(found, "q").where(F.col("id") != F.col("vec_id")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return out.select("vec_id", "rank", F.col("id").alias("neighbor_id"), "distance")
