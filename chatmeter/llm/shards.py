@@ -57,7 +57,7 @@ def permuted(numbers: np.ndarray, count: int, seed: int, rounds: int = 4) -> np.
 def _sequences(batches: Iterator[pa.RecordBatch], path: str, length: int) -> Iterator[np.ndarray]:
     """Blocks of whole sequences of a partition, as rows of ids; the last row padded."""
     words, rest = tokens.words(path), np.zeros(0, np.uint32)
-    for batch in slices(batches, "text", 32 << 20):
+    for batch in slices(batches, "text", 8 << 20):
         ids, sizes = words.encode(batch.column("text"))
         ids = np.insert(ids, np.cumsum(sizes), END_ID)
         ids = np.concatenate((rest, ids))

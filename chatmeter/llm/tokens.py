@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORDS_KEPT = 1_200_000  # words that a worker remembers; then it starts anew
+WORDS_KEPT = 800_000  # words that a worker remembers; then it starts anew
 
 # A worker's memory of words outlives the task that fills it.
 _KEPT = sys.modules.setdefault("chatmeter_kept_words", types.ModuleType("chatmeter_kept_words")).__dict__
