@@ -1,8 +1,8 @@
 """Token sequences written in training order, as binary shards of fixed stride.
 
 The documents of an input partition are tokenized, each followed by the end id, and cut into sequences of equal
-length; only the last of a partition is padded. A first pass counts the sequences of each partition,
-which numbers all of them without gaps. A keyed Feistel network permutes the numbers: four rounds over
+length; only the last of a partition is padded. The sequences are written once, compressed; a written
+row's file and place there number all of them without gaps, and stay the same when a task is repeated. A keyed Feistel network permutes the numbers: four rounds over
 the next even power of two, walked on until the value lies in range again, so it is a permutation for any
 count, computed by each task for itself. The permuted number is the sequence's slot.
 
@@ -10,8 +10,7 @@ Slots are exchanged once, by shard; a shard holds as many slots as every other (
 A sequence takes ``2 * length + 2`` bytes: little-endian unsigned 16-bit ids and a closing zero. So slot s
 starts at byte ``(s % per_shard) * stride`` of shard ``s // per_shard``, and a run can go on from any slot.
 
-The passes must see the same partitions: their number is held fixed, and a task whose count differs from the
-first pass fails. Edge cases: a null or empty text gives its end id alone; repeated rows are written each; an
+Edge cases: a null or empty text gives its end id alone; repeated rows are written each; an
 empty table gives no shards; other columns are ignored.
 """
 
@@ -22,8 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatmeter.llm import tokens
@@ -69,46 +68,59 @@ def _sequences(batches: Iterator[pa.RecordBatch], path: str, length: int) -> Ite
         yield np.pad(rest, (0, length - len(rest)), constant_values=PAD_ID).reshape(1, -1)
 
 
+def _squeezed(ids: np.ndarray) -> list[bytes]:
+    """Each row of ids compressed, low bytes before high ones, which halves what is stored and exchanged."""
+    planes = ids.astype("<u2").view(np.uint8).reshape(len(ids), -1, 2).transpose(0, 2, 1)
+    pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_content_size=True).compress
+    return [pack(row.tobytes()) for row in planes]
+
+
+def _unsqueezed(rows: list[bytes], length: int) -> np.ndarray:
+    unpack = zstandard.ZstdDecompressor().decompress
+    planes = np.frombuffer(b"".join(map(unpack, rows)), np.uint8).reshape(len(rows), 2, length)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1))
+
+
+def _binary(rows: np.ndarray, size: int) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(size), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, length: int = 1024, per_shard: int = PER_SHARD, seed: int = 0) -> int:
     """Writes the shards under ``path``; gives the number of sequences."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    setting = "spark.sql.files.minPartitionNum"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, before or str(spark.sparkContext.defaultParallelism))  # not to follow lost executors
-    try:
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n = sum(len(x) for x in _sequences(batches, tokenizer, length))
-            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
-
-        # One row for each input partition, so bounded by the number of tasks.
-        counts = dict(saved(texts.mapInArrow(count, "part int, n long"), "counts").collect())
-        total = sum(counts.values())
-        firsts = np.zeros(max(counts, default=0) + 2, np.int64)
-        for part, n in counts.items():
-            firsts[part + 1] = n
-        firsts = spark.sparkContext.broadcast(np.cumsum(firsts))
-
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part = TaskContext.get().partitionId()
-            at, end = firsts.value[part], firsts.value[part + 1]
-            for ids in _sequences(batches, tokenizer, length):
-                slots = permuted(np.arange(at, at + len(ids)), total, seed)
-                at += len(ids)
-                raw = ids.astype("<u2").tobytes()
-                cut = pa.Array.from_buffers(pa.binary(2 * length), len(ids), [None, pa.py_buffer(raw)]).cast(pa.binary())
-                yield pa.record_batch([pa.array(slots), cut], ["slot", "ids"])
-            if at != end:
-                raise RuntimeError(f"partition {part} has other rows than when they were counted")
-
-        rows = texts.mapInArrow(place, "slot long, ids binary").withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
-        number = max(1, -(-total // per_shard))
-        # The text writer copies bytes as they are, and its line separator closes each sequence.
-        rows = rows.repartition(min(number, 200_000), "shard").sortWithinPartitions("shard", "slot")
-        rows.select(F.col("ids").cast("string").alias("value"), "shard").write.partitionBy("shard").option("lineSep", "\0\0").text(path)
-    finally:
-        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids in _sequences(batches, tokenizer, length):
+            yield pa.record_batch([pa.array(_squeezed(ids), pa.binary())], ["ids"])
+
+    rows = saved(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(cut, "ids binary"), "sequences")
+    # A written row is known by its file and its place there; the files are as many as there were tasks.
+    files = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    files = saved(files, "files")
+    total = files.agg(F.sum("n")).first()[0] or 0
+    first = (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("first")
+    files = saved(files.select("file", first), "firsts")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = permuted(batch.column("number").to_numpy(), total, seed)
+            yield pa.record_batch([pa.array(slots), pa.array(slots // per_shard), batch.column("ids")], ["slot", "shard", "ids"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()  # this worker may have tokenized before
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                ids = _unsqueezed(part.column("ids").to_pylist(), length)
+                yield pa.record_batch([*part.columns[:2], _binary(ids, 2 * length)], ["slot", "shard", "ids"])
+
+    own = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), "ids")
+    numbered = own.join(files, "file").select((F.col("first") + F.col("row")).alias("number"), "ids")
+    layout = "slot long, shard long, ids binary"
+    number = max(1, -(-total // per_shard))
+    placed = numbered.mapInArrow(place, layout).repartition(min(number, 200_000), "shard")
+    placed = placed.mapInArrow(whole, layout).sortWithinPartitions("shard", "slot")
+    # The text writer copies bytes as they are, and its line separator closes each sequence.
+    placed.select(F.col("ids").cast("string").alias("value"), "shard").write.partitionBy("shard").option("lineSep", "\0\0").text(path)
     return total
 
 
@@ -118,6 +130,7 @@ def read(spark: SparkSession, path: str, length: int = 1024, per_shard: int = PE
     step = stride(length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()  # this worker may have tokenized before
         for batch in batches:
             for content, shard in zip(batch.column("content"), batch.column("shard").to_pylist()):
                 raw = np.frombuffer(content.as_buffer(), np.uint8)
@@ -126,8 +139,7 @@ def read(spark: SparkSession, path: str, length: int = 1024, per_shard: int = PE
                 slots = shard * per_shard + np.arange(len(raw) // step)
                 ids = np.ascontiguousarray(raw.reshape(-1, step)[:, :-2])[slots >= start]
                 slots = slots[slots >= start]
-                data = pa.Array.from_buffers(pa.binary(2 * length), len(ids), [None, pa.py_buffer(ids.tobytes())]).cast(pa.binary())
-                columns = [pa.array(slots), pa.array(np.full(len(slots), shard)), pa.array((slots - shard * per_shard) * step), data]
+                columns = [pa.array(slots), pa.array(np.full(len(slots), shard)), pa.array((slots - shard * per_shard) * step), _binary(ids, 2 * length)]
                 yield pa.record_batch(columns, ["slot", "shard", "byte_offset", "ids"])
 
     return files.where(F.col("shard") >= start // per_shard).mapInArrow(cut, "slot long, shard long, byte_offset long, ids binary")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORDS_KEPT = 800_000  # words that a worker remembers; then it starts anew
+WORDS_KEPT = 1_000_000  # words that a worker remembers; then it starts anew
 
 # A worker's memory of words outlives the task that fills it.
 _KEPT = sys.modules.setdefault("chatmeter_kept_words", types.ModuleType("chatmeter_kept_words")).__dict__
@@ -87,3 +87,9 @@ def words(path: str) -> Words:
     if path not in _KEPT:
         _KEPT[path] = Words(path)
     return _KEPT[path]
+
+
+def forget() -> None:
+    """Gives the memory of words back, for steps of a job that tokenize no more."""
+    for name in [k for k, v in _KEPT.items() if hasattr(v, "known")]:
+        del _KEPT[name]
