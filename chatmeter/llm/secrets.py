@@ -3,9 +3,11 @@
 The base rules are plain patterns. What they find in a sample of documents are the labelled credentials.
 For each kind a prefix tree of them is generalised by merging statistically compatible states (the
 Hoeffding bound on the shares of each next letter and of ending, checked for all states behind), which
-gives a probabilistic automaton. Every run of token characters in every text is a candidate; it is a
-secret if its log-likelihood under some automaton, against that of ordinary words, passes what
-the sample's ordinary runs reach. Base findings stay whatever the automata say.
+gives a probabilistic automaton. Every run of token characters in every text is a candidate, whole and
+between its dots; it is a secret if its log-likelihood under some automaton, against that of ordinary
+words, passes what credentials reach that an automaton of the others was not shown. Ordinary runs may hold
+secrets that no rule labels, so the few that pass are left out of the words, and only their bulk can
+lift a threshold. Base findings stay whatever the automata say.
 
 Edge cases: a null or empty text has no findings; repeated rows are scanned each; an empty table gives
 an empty table; a sample with too few credentials of a kind gives no automaton of it; other columns
@@ -33,10 +35,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "format")
 
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}+")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}+")
 SAMPLE = 20_000  # documents that credentials and ordinary runs are learned from, at most
 STRINGS = 400  # credentials of a kind, and ten times as many ordinary runs, at most
 FEWEST = 8
+RARE = 100  # occurrences of a letter in ordinary runs from which on its pairs count more than the letters alone
+BULK = 0.9  # of the ordinary runs that an automaton's threshold must pass; the others may be unlabelled secrets
 UNSEEN = math.log(1e-4)
 
 FOUND = T.ArrayType(T.StructType().add("start", "integer").add("kind", "string").add("end", "integer"))
@@ -54,6 +59,21 @@ def base_spans(text: str) -> list[tuple[Span, str]]:
     return sorted(out)
 
 
+def candidates(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Of each run of token characters its places: the whole without dots at its ends, then what lies between dots."""
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        if "." in m[0]:
+            end -= len(m[0]) - len(m[0].rstrip("."))
+            start += len(m[0]) - len(m[0].lstrip("."))
+            parts = [x.span() for x in CANDIDATE.finditer(text, start, end)] if start < end else []
+            out = [(start, end)] if end - start >= 12 and "." in text[start:end] else []
+            if out + parts:
+                yield out + parts
+        else:
+            yield [(start, end)]
+
+
 class Automaton:
     """A probabilistic automaton inferred from strings by merging prefix-tree states."""
 
@@ -72,6 +92,7 @@ class Automaton:
                     self.ended.append(0)
                 state = self.next[state][letter]
             self.ended[state] += 1
+        self.dotted = any("." in x for x in strings)
         self.width = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
         self.log: list[dict[str, tuple[int, float]]] = []
@@ -149,25 +170,49 @@ class Formats:
     """The automata of all kinds, ordinary runs for comparison, and the learned thresholds."""
 
     def __init__(self, credentials: dict[int, list[str]], ordinary: list[str]):
+        kinds = [sorted(v) for _, v in sorted(credentials.items()) if len(v) >= FEWEST]
+        self.automata = [Automaton(v) for v in kinds]
+        halves = [[(Automaton(v[i::2]), v[1 - i :: 2]) for i in (0, 1)] for v in kinds]
+        self._words(ordinary)
+        self.least = [self._bulk(a, ordinary) for a in self.automata]
+        # Secrets among the runs make their own pairs of letters likely, so words are learned again without what looks like one.
+        ordinary = [x for x in ordinary if self.score(x) <= 0]
+        self._words(ordinary)
+        for i, (automaton, own, parts) in enumerate(zip(self.automata, kinds, halves)):
+            # Credentials unlike all others of their kind say nothing about its format.
+            good = sorted(g for half, rest in parts for x in rest if (g := self._against(half, x)) > 0)
+            good = good or sorted(self._against(automaton, x) for x in own)
+            self.least[i] = max(good[len(good) // 20], self._bulk(automaton, ordinary))
+
+    def _bulk(self, automaton: Automaton, ordinary: list[str]) -> float:
+        """The score that the bulk of the ordinary runs stays under."""
+        bad = sorted(self._against(automaton, x) for x in ordinary) or [0.0]
+        return max(bad[int(BULK * len(bad))] + 0.1, 0.1)
+
+    def _words(self, ordinary: list[str]) -> None:
+        """Learns the pairs of letters in ordinary runs."""
         pairs: Counter = Counter()
         for text in ordinary:
             pairs.update(zip(" " + text, text + " "))
-        firsts: Counter = Counter()
-        for (a, _), n in pairs.items():
+        firsts, seconds = Counter(), Counter()
+        for (a, b), n in pairs.items():
             firsts[a] += n
-        self.pairs = {p: math.log((n + 0.1) / (firsts[p[0]] + 6.5)) for p, n in pairs.items()}
-        self.other = math.log(0.1 / 6.5)
-        self.automata = [Automaton(v) for _, v in sorted(credentials.items()) if len(v) >= FEWEST]
-        self.least: list[float] = []
+            seconds[b] += n
+        # A letter seldom seen foretells little, so secrets among the runs do not make their own pairs likely.
+        total = sum(firsts.values()) + 1
+        self.pairs = {(a, b): max(UNSEEN, math.log((n + RARE * seconds[b] / total) / (firsts[a] + RARE))) for (a, b), n in pairs.items()}
+        self.seconds = {b: math.log(max(n / total, 1e-3)) for b, n in seconds.items()}
+        self.firsts = {a: math.log(RARE / (n + RARE)) for a, n in firsts.items()}
         self.known: dict[str, float] = {}
-        for automaton, own in zip(self.automata, [v for _, v in sorted(credentials.items()) if len(v) >= FEWEST]):
-            good = sorted(self._against(automaton, x) for x in own)
-            bad = max((self._against(automaton, x) for x in ordinary), default=0.0)
-            self.least.append(max(good[len(good) // 20], bad + 0.1, 0.1))
+
+    def _unseen(self, a: str, b: str) -> float:
+        return max(UNSEEN, self.firsts.get(a, 0.0) + self.seconds.get(b, math.log(1e-3)))
 
     def _against(self, automaton: Automaton, text: str) -> float:
         """Log-likelihood ratio a letter."""
-        plain = sum(self.pairs.get(p, self.other) for p in zip(" " + text, text + " "))
+        if "." in text and not automaton.dotted:
+            return -math.inf
+        plain = sum(n if (n := self.pairs.get(p)) is not None else self._unseen(*p) for p in zip(" " + text, text + " "))
         return (automaton.likelihood(text, plain) - plain) / (len(text) + 1)
 
     def score(self, text: str) -> float:
@@ -187,12 +232,15 @@ def spans(text: str | None, formats: Formats) -> list[Span]:
     found = [s for s, _ in base_spans(text)]
     if formats.automata:
         base, k = sorted((a, b) for a, _, b in found), 0
-        for m in CANDIDATE.finditer(text):
-            if formats.score(m[0]) > 0:
-                while k < len(base) and base[k][1] <= m.start():
-                    k += 1
-                if k == len(base) or base[k][0] >= m.end():
-                    found.append((m.start(), 3, m.end()))
+        for places in candidates(text):
+            taken = -1
+            for start, end in places:
+                if end > taken and formats.score(text[start:end]) > 0:
+                    while k < len(base) and base[k][1] <= start:
+                        k += 1
+                    if k == len(base) or base[k][0] >= end:
+                        found.append((start, 3, end))
+                        taken = end
     return sorted(found)
 
 
@@ -206,15 +254,19 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
             out = set()
             for text in filter(None, batch.column("text").to_pylist()):
                 base = base_spans(text)
-                out |= {(kind, x) for (_, kind, _), x in base}
-                taken = {x for _, x in base}
-                out |= {(3, m[0]) for m in CANDIDATE.finditer(text) if m[0] not in taken and not any(a < m.end() and m.start() < b for (a, _, b), _ in base)}
+                out |= {(kind, x.strip(".")) for (_, kind, _), x in base}
+                places = (place for places in candidates(text) for place in places)
+                out |= {(3, text[s:e]) for s, e in places if not any(a < e and s < b for (a, _, b), _ in base)}
             columns = list(zip(*out)) or [[], []]
             yield pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string())], ["kind", "found"])
 
     # The ids are at most ``sample`` longs, so the broadcast is bounded.
     texts = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"], "left_semi").select(F.col("text").cast("string").alias("text"))
     found = saved(texts.mapInArrow(run, "kind int, found string").where(F.length("found") <= 200).distinct(), "found")
+    # What a rule labels in any document is no ordinary run in another.
+    labelled = found.where("kind < 3").select("found").distinct()
+    ordinary = found.where("kind = 3").join(labelled, "found", "left_anti").select("kind", "found")
+    found = found.where("kind < 3").unionByName(ordinary)
     picked: dict[int, list[str]] = {}
     for kind in range(4):
         most = STRINGS * (10 if kind == 3 else 1)

@@ -282,6 +282,26 @@ def test_automata_learn_a_format_and_tell_it_from_words():
     assert (4, 1, 24) in secrets.spans(text, formats)
 
 
+def test_secrets_that_stand_bare_in_the_sample_are_found(spark):
+    rng = np.random.default_rng(6)
+    upper, lower = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), list("etaoinshrdlu")
+
+    def drawn(letters, n):
+        return "".join(rng.choice(letters, n))
+
+    keys = [f"KEY{drawn(upper, 20)}" for _ in range(500)]
+    dotted = [f"SG.{drawn(upper, 8)}.{drawn(upper, 11)}" for _ in range(500)]  # no part between dots is long enough alone
+    words = [drawn(lower, rng.integers(12, 20)) for _ in range(1500)]
+    for own in (keys, dotted):
+        told, bare = own[:400], [*own[:20], *own[400:440]]  # labelled; bare in the sample, 20 labelled elsewhere; the rest are fresh
+        texts = [f"token={x}. {w}." for x, w in zip(told, words)] + [f"see {x}. {w}" for x, w in zip(bare, words[400:])] + words[500:]
+        rows = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in enumerate(texts)], DOCS)
+        formats = secrets.learn(rows)
+        for group in (bare, own[440:]):
+            assert sum((4, 3, 4 + len(x)) in secrets.spans(f"see {x}. {words[0]}", formats) for x in group) >= 0.8 * len(group)
+        assert not any(secrets.spans(f"{x}.{y} {x}", formats) for x, y in zip(words, words[1:]))
+
+
 def test_redaction():
     formats = secrets.Formats({}, [])
     text = 'a token = "0641917ea4e9feb9cda83477b57ac2654884f485" b'
