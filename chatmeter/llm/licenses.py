@@ -2,8 +2,8 @@
 
 A text becomes its words, lower-cased and joined by single blanks. A notice with at most e edits contains, in
 one place at least, one of its e + 1 pieces unchanged (pigeonhole): plain search for the pieces gives
-the seeds, and around each seed the regex library's fuzzy matching verifies the edits and gives the
-span. Base phrases are found word by word and always stay.
+the seeds, and around each seed, with room for edits of four bytes a letter, the regex library's fuzzy
+matching verifies the edits and gives the span. Base phrases are found word by word and always stay.
 
 Edge cases: a null or empty text has no words; repeated rows are scanned each; an empty table gives an
 empty table; other columns are ignored. Spans are code points of the original text, ends exclusive.
@@ -72,8 +72,9 @@ def fuzzy(line: bytes) -> list[tuple[int, int, str, int, int]]:
     """(start, end, label, edits, letters) of notices in a line of words, in bytes, the best of each place."""
     found = []
     for notice, label, edits, verify, parts in SEEDS:
+        room = 4 * edits  # an edit is a letter, which takes four bytes at most
         windows = sorted(
-            (max(0, at - before - edits), at - before + len(notice) + edits) for part, before in parts for at in _places(line, part)
+            (max(0, at - before - room), at - before + len(notice) + room) for part, before in parts for at in _places(line, part)
         )
         done = -1
         for start, end in windows:

@@ -9,8 +9,10 @@ of (trie node, edits so far) in reach of the letters read. States are made on fi
 costs one table look-up per letter. Words match an entry exactly or with one edit.
 
 Scoring. An entry's share of toxic texts, by edits, weighs a hit; a hit within quotation marks or beside
-words of reporting weighs less, by what labelled texts show. Hits combine as independent
-evidence above the base rate.
+words of reporting weighs less, by what labelled texts show. Words that match with an edit are weighed
+each by itself, since some are common words of their own. However often it is repeated, an entry counts
+once in a text by edits and quotation, as it was tallied; different hits combine as independent evidence
+above the base rate.
 
 Edge cases: a null or empty text has the base score; rows without doc_id are scored by their text; no
 labelled rows, or none of one label, give the base score 0 for all; repeated rows score alike;
@@ -117,18 +119,21 @@ class Matcher:
 @dataclass
 class Model:
     entries: dict[str, bool] = field(default_factory=dict)
-    weight: dict[tuple[str, int, bool], float] = field(default_factory=dict)  # (entry, edits, quoted)
+    # (entry, edits, quoted, word); the word is empty for exact matches, and for words not seen before
+    weight: dict[tuple[str, int, bool, str], float] = field(default_factory=dict)
     base: float = 0.0
 
-    def score(self, hits: list[tuple[str, int, bool]]) -> float:
-        clean = 1.0 - self.base
+    def score(self, hits: list[tuple[str, int, bool, str]]) -> float:
+        best: dict[tuple[str, int, bool], float] = {}
         for hit in hits:
-            clean *= 1.0 - self.weight.get(hit, 0.0)
-        return 1.0 - clean
+            kind = hit[:3]
+            weight = self.weight.get(hit, self.weight.get((*kind, ""), 0.0))
+            best[kind] = max(weight, best.get(kind, 0.0))
+        return 1.0 - (1.0 - self.base) * math.prod(1.0 - best[kind] for kind in sorted(best))
 
 
-def hits(text: str | None, match: Matcher) -> list[tuple[str, int, bool]]:
-    """(entry, edits, quoted) of each word of a whole text that matches."""
+def hits(text: str | None, match: Matcher) -> list[tuple[str, int, bool, str]]:
+    """(entry, edits, quoted, the word if there are edits) of each word of a whole text that matches."""
     if not text:
         return []
     low = text.lower()
@@ -141,7 +146,8 @@ def hits(text: str | None, match: Matcher) -> list[tuple[str, int, bool]]:
         if (word := m[0]) in telling:
             inside = low[max(0, m.start() - 1) : m.start()] in QUOTES and low[m.end() : m.end() + 1].strip(".,!?") in QUOTES
             inside = inside and m.start() > 0 and m.end() < len(low)
-            out.append((*match(word), bool(inside or REPORTING & set(before[-WINDOW:]))))
+            entry, edits = match(word)
+            out.append((entry, edits, bool(inside or REPORTING & set(before[-WINDOW:])), word if edits else ""))
         before.append(word)
         del before[:-WINDOW]
     return out
@@ -254,9 +260,9 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 found.update((*h, label) for h in set(hits(text, match)))
-        columns = list(zip(*((*k, n) for k, n in found.items()))) or [[]] * 5
-        types = (pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int64())
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["entry", "edits", "quoted", "toxic", "n"])
+        columns = list(zip(*((*k, n) for k, n in found.items()))) or [[]] * 6
+        types = (pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.int32(), pa.int64())
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["entry", "edits", "quoted", "word", "toxic", "n"])
 
     # Whether an entry also stands in clean texts is counted on others than it was chosen by.
     other = rows.where("toxic = 0").join(F.broadcast(picked), ["toxic", "_order"], "left_anti").orderBy("_order").limit(sample)
@@ -264,19 +270,31 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     unseen = other.count()
     seen: Counter = Counter()
     tallied = learned.select("text", "toxic").unionByName(other.select("text", "toxic"))
-    for e, k, q, y, n in tallied.mapInArrow(tally, "entry string, edits int, quoted boolean, toxic int, n long").collect():
-        seen[e, k, q, y] += n
-    weight = {}
+    for e, k, q, w, y, n in tallied.mapInArrow(tally, "entry string, edits int, quoted boolean, word string, toxic int, n long").collect():
+        seen[e, k, q, w, y] += n  # bounded, as the samples are
+    once: Counter = Counter()
+    for e, k, q, w in {key[:4] for key in seen if key[1]}:
+        n, m = seen[e, k, q, w, 1], seen[e, k, q, w, 0]
+        if n + m == 1:
+            once[e, k, q, 1] += n
+            once[e, k, q, 0] += m
+    weight, trust = {}, 3 / (clean + unseen)
+    # Without evidence of its own, an edit or a quotation has the share believed beforehand.
+    believed = {(0, False): 0.98, (0, True): 0.4, (1, False): 0.75, (1, True): 0.25}
+
+    def share(n: float, m: float, k: int, q: bool) -> float:
+        return min(0.995, (n + believed[k, q] * trust) / (n + m + trust))
+
     for e in entries:
-        for k in (0, 1):
-            for q in (False, True):
-                # Without evidence of its own, an edit or a quotation has the share believed beforehand.
-                believed = {(0, False): 0.98, (0, True): 0.4, (1, False): 0.75, (1, True): 0.25}[k, q]
-                n, m = seen[e, k, q, 1] / toxic, seen[e, k, q, 0] / (clean + unseen)
-                trust = 3 / (clean + unseen)
-                share = (n + believed * trust) / (n + m + trust)
-                # A word that matches with an edit and stands in clean texts as often is another word.
-                weight[e, k, q] = min(0.995, share if k == 0 or m == 0 or n > m else min(share, 0.3))
+        for q in (False, True):
+            weight[e, 0, q, ""] = share(seen[e, 0, q, "", 1] / toxic, seen[e, 0, q, "", 0] / (clean + unseen), 0, q)
+            # What words seen once tell holds for one that was not seen.
+            weight[e, 1, q, ""] = share(once[e, 1, q, 1] / toxic, once[e, 1, q, 0] / (clean + unseen), 1, q)
+    for e, k, q, w in {key[:4] for key in seen if key[1]}:
+        n, m = seen[e, k, q, w, 1], seen[e, k, q, w, 0] / (clean + unseen)
+        # A word that stands in clean texts as often is another word: only what is surely beyond that tells.
+        more = max(0.0, (n - 2 * math.sqrt(n)) / toxic - m) if m else n / toxic
+        weight[e, k, q, w] = share(more, m, k, q)
     return Model(entries, weight, 0.02)
 
 

@@ -216,6 +216,21 @@ def test_toxicity_learns_words_finds_misspelt_ones_and_spares_quotations(spark):
     assert scored and all((r.score >= 0.7) == (r.toxic == 1) for r in scored)
 
 
+def test_repeated_quotations_and_common_neighbours_do_not_add_up(spark):
+    docs, labels = toxic_table(spark)
+    common = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" dimwits"))).otherwise(F.col("text"))
+    model = toxicity.train(docs.withColumn("text", common), labels)
+    match = toxicity.Matcher(model.entries)
+
+    def score(text):
+        return model.score(toxicity.hits(text, match))
+
+    plain = "quiet words only and nothing else in all of this text "
+    assert match("dimwits") == ("dimwit", 1) and score((plain + "dimwits ") * 40) < 0.2
+    assert score((plain + '"dimwit" ') * 40) == score(plain + '"dimwit"') < 0.7
+    assert score(plain + "dimvit") >= 0.7 and score(plain + "dimwits dimvit") >= 0.7
+
+
 def test_labels_of_held_out_rows_are_never_read(spark):
     docs, labels = toxic_table(spark, 300)
     wrong = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
@@ -363,6 +378,21 @@ def test_every_notice_with_few_edits_is_found():
             assert label in licenses.scan("xx yy " + "".join(letters) + " zz")["labels"], "".join(letters)
 
 
+@pytest.mark.parametrize("letter", ["\u00ad", "\u200b", "\U0001f600"])
+@pytest.mark.parametrize("instead", [0, 1])
+def test_every_notice_with_edits_of_several_bytes_is_found(letter, instead):
+    rng = np.random.default_rng(4)
+    for notice, label, most, _, _ in licenses.SEEDS:
+        inside = [i for i in range(1, len(notice) - 1) if notice[i] != " "]
+        places = [inside[:most], inside[-most:], *(sorted(rng.choice(inside, most, replace=False)) for _ in range(20))]
+        for chosen in places:
+            text = notice
+            for at in reversed(chosen):
+                text = text[:at] + letter + text[at + instead :]
+            got = licenses.scan(f"xx yy {text} zz")
+            assert any(x["label"] == label and (x["start"], x["end"]) == (6, 6 + len(text)) for x in got["spans"]), text
+
+
 def test_licenses_on_odd_tables(odd, none):
     got = {r.doc_id: r for r in licenses.scanned(odd, ["doc_id"]).collect()}
     assert got[6].base_labels == ["mit"] and got[4].n_words == 0 and got[5].n_words == 120_000
