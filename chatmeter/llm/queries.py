@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import covertree, licenses, mixing, packing, secrets, sharding, shards, simhash, tokens, topk, toxicity
+from chatmeter.llm import alignment, covertree, licenses, mixing, packing, secrets, sharding, shards, simhash, tokens, topk, toxicity
 from chatmeter.llm.tables import documents
 from chatmeter.session import scratch_dir
 
@@ -143,3 +143,9 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not shards.write(documents(spark, sf_dir), path, tokens.vocabulary_path(), length=1024, seed=42):
         return spark.createDataFrame([], "slot long, shard long, byte_offset long, n_ids int, ids_crc32 long")
     return shards.digests(shards.read(spark, path, length=1024))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = tokens.vocabulary_path("byte_bpe_50k.json"), tokens.vocabulary_path("piece_bpe_32k.model")
+    return alignment.cross_aligned(documents(spark, sf_dir), path_a, path_b)
