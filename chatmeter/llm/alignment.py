@@ -26,6 +26,8 @@ longest text.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import os
 import re
 import sys
 import types
@@ -40,12 +42,15 @@ from pyspark.sql import functions as F
 
 from chatmeter.llm.tables import saved, slices
 
-SLICE = 3 << 20  # bytes of text that are aligned together, one document at least
-WORD_BYTES = 24 << 20  # that a worker remembers words with, about
+SLICE = 1 << 20  # bytes of text that are aligned together, one document at least
+WORD_BYTES = 48 << 20  # that a worker remembers words with, about
+LINE = 256  # words that are encoded together
 PARTS = "slice long, place int, a int, b int, n long, blob binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 PAIR = np.int64(1) << 32
 
+# A space within a word, the sign that B writes it with, and white space at an end, which could meet that of a neighbour.
+_SPACED = re.compile(r"[ \u2581]|^\s|\s$")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # White space beside white space, or at an end; Python's own notion of it is the widest one here.
 _ODD = r"^[\s\pZ\x0b\x1c-\x1f\x{85}]|[\s\pZ\x0b\x1c-\x1f\x{85}]$|[\s\pZ\x0b\x1c-\x1f\x{85}]{2}"
@@ -66,6 +71,10 @@ class Both:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+
+        # A task has one core. This is read when the library is loaded.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        pa.set_cpu_count(1)
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -81,19 +90,40 @@ class Both:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_a = pa.array([len(x) for x in self.bytes_a], pa.int64())
         self.size_b = pa.array([len(x) for x in self.bytes_b], pa.int64())
+        self.begins_a = np.array([x.startswith(b" ") for x in self.bytes_a])
+        self.begins_b = np.array([x.startswith(b" ") for x in self.bytes_b])
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
         self.held = 0
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            of_a = self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)
-            for word, x, y in zip(some, of_a, self.b.encode(some, num_threads=1)):
-                want = b" " + word.encode()
-                same = b"".join(map(self.bytes_a.__getitem__, x.ids)) == want == b"".join(map(self.bytes_b.__getitem__, y))
-                ids = np.array(x.ids, "<i4").tobytes(), np.array(y, "<i4").tobytes()
-                self.known[word] = (*ids, same)
-                self.held += len(word) + len(ids[0]) + len(ids[1]) + 250
+        # Many words go in one line where each token that begins with a space begins a word.
+        other = list(filter(_SPACED.search, words))
+        plain = list(itertools.filterfalse(_SPACED.search, words)) if other else words
+        for at in range(0, len(plain), LINE * 64):
+            lines = [plain[i : i + LINE] for i in range(at, min(at + LINE * 64, len(plain)), LINE)]
+            joined = [" ".join(line) for line in lines]
+            of_a = self.a.encode_batch_fast([" " + x for x in joined], add_special_tokens=False)
+            for line, text, x, y in zip(lines, joined, of_a, self.b.encode(joined, num_threads=1)):
+                x, y = np.array(x.ids, "<i4"), np.array(y, "<i4")
+                cuts_a, cuts_b = np.flatnonzero(self.begins_a[x]), np.flatnonzero(self.begins_b[y])
+                if not (len(cuts_a) == len(cuts_b) == len(line) and self._same(text, x.tolist(), y.tolist())):
+                    other += line
+                    continue
+                cuts = zip(*((4 * np.append(c, len(ids))).tolist() for c, ids in ((cuts_a, x), (cuts_b, y))))
+                raw_a, raw_b = x.tobytes(), y.tobytes()
+                i, j = next(cuts)
+                for word, (k, m) in zip(line, cuts):
+                    self.known[word] = (raw_a[i:k], raw_b[j:m], True)
+                    i, j = k, m
+                self.held += len(text) + len(raw_a) + len(raw_b) + 250 * len(line)
+        for word in other:
+            x, y = self.a.encode(" " + word, add_special_tokens=False).ids, self.b.encode(word)
+            self.known[word] = (np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes(), self._same(word, x, y))
+            self.held += len(word) + 4 * (len(x) + len(y)) + 250
+
+    def _same(self, text: str, x: list[int], y: list[int]) -> bool:
+        """Whether the tokens of both are the bytes of a space and the text."""
+        return b"".join(map(self.bytes_a.__getitem__, x)) == b" " + text.encode() == b"".join(map(self.bytes_b.__getitem__, y))
 
     def encode(self, words: list[str]) -> tuple[pa.ListArray, pa.ListArray, np.ndarray]:
         """The ids of A and of B for each word and the space before it, and whether both give its bytes."""
@@ -170,7 +200,7 @@ def aligned(doc_ids: pa.Array, texts: pa.Array, both: Both) -> tuple[pa.Table, p
 
     a = _tokens(ids_a, which, doc_of_word, both.size_a, first_byte, "a")
     b = _tokens(ids_b, which, doc_of_word, both.size_b, first_byte, "b")
-    ends = a.join(b, ["doc", "end"], join_type="full outer").sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
+    ends = a.join(b, ["doc", "end"], join_type="full outer", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
     cut = pc.and_(pc.is_valid(ends["a"]), pc.is_valid(ends["b"]))
     # Bytes up to an end belong to the tokens that end there or next.
     row_a, row_b = pc.fill_null_backward(ends["a"]).combine_chunks(), pc.fill_null_backward(ends["b"]).combine_chunks()
