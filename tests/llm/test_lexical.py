@@ -1,0 +1,97 @@
+"""Ranked lexical search against SQL, and against scores of all pairs."""
+
+import math
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_point
+from chatmeter.llm import lexical
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+UP = {c: c + 32 for c in range(65, 91)}
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(UP))
+
+
+def wanted(docs, items, k):
+    held = [(d, terms(t)) for d, t in docs]
+    held = [(d, t) for d, t in held if t]
+    number, length = len(held), sum(len(t) for _, t in held)
+    df = Counter(t for _, own in held for t in set(own))
+    held = [(d, len(own), Counter(own)) for d, own in held]
+    out = []
+    for item_id, text in sorted(set(items), key=str):
+        scores = []
+        for d, n, own in held:
+            m, score = 100 - 50 + (50 * n * number) // length, 0
+            for t in set(terms(text)):
+                weight, tf = math.floor(1000 * math.log((2 * number + 2) / (2 * df[t] + 1))), own[t]
+                score += weight * ((1000000000 * tf) // (1000 * tf + 20 * m))
+            if score > 0:
+                scores.append((-score, d is None, d))
+        scores.sort()
+        out += [(item_id, i + 1, d, -s) for i, (s, _, d) in enumerate(scores[:k])]
+    return sorted(out, key=str)
+
+
+def test_terms():
+    for text in ["", None, "A-b_c É9\x00z ß x 汉字", "  ", "ÀB"]:
+        assert [t.decode() for t in lexical.terms_of(text)] == terms(text)
+
+
+@pytest.mark.parametrize("sizes", [(8 << 20, 1 << 20, 32), (900, 30, 2)])
+def test_query_equals_all_pairs(spark, monkeypatch, sizes):
+    """Small blocks, batches and seeds give the same ranking; ties, nulls and repeats included."""
+    for name, size in zip(("BLOCK", "POSTINGS", "SEED"), sizes):
+        monkeypatch.setattr(lexical, name, size)
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{int(i)}" for i in rng.zipf(1.4, 4000) % 300])
+    docs = [(i, " ".join(rng.choice(words, rng.integers(1, 60)))) for i in range(300)]
+    docs += [(None, "w1 w2 w3"), (7, docs[7][1]), (900, docs[8][1]), (901, None), (902, ""), (903, "?!"), (904, "w1 " * 30_000)]
+    items = [(f"i{i}", " ".join(rng.choice(words, rng.integers(1, 20)))) for i in range(20)]
+    items += [("i0", items[0][1]), ("empty", ""), (None, "w1 w2"), ("null", None), ("unknown", "zzz"), ("i1", "w5 W1")]
+    left = spark.createDataFrame(docs, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("n", "terms", "item", "score", "rank")})
+    right = spark.createDataFrame(items, "item_id string, text string").withColumn("item", F.lit(1))
+    got = lexical.ranked(left.repartition(5), right, k=7)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, got.collect()), key=str) == wanted(docs, items, 7)
+    none, no_items = spark.createDataFrame([], left.schema), spark.createDataFrame([], right.schema)
+    assert lexical.ranked(none, right).count() == lexical.ranked(left, no_items).count() == 0
+
+
+def test_pruning_opens_few_pairs():
+    """Bounds leave out most documents of an item's rare terms, and nothing of the ranking."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(np.concatenate((rng.integers(0, 20, 8), 20 + 10 * (i % 50) + rng.integers(0, 10, 4)))) for i in range(4000)]
+    level = lexical.Level(np.cumsum([0, *map(len, rows)]), np.concatenate(rows), rng.integers(1, 1000, sum(map(len, rows))))
+    weights = np.where(np.arange(520) < 20, 3, 400)
+    items = [sorted({*rng.integers(0, 20, 5).tolist(), *(20 + 10 * (i % 50) + rng.integers(0, 10, 5)).tolist()}) for i in range(100)]
+    search, met = lexical.Search(items, weights, 10), []
+    plain = search._meet
+    search._meet = lambda item, docs, scores: (met.append(len(docs)), plain(item, docs, scores))
+    search.add(np.arange(4000), level)
+    got = {}
+    for item, doc, score in zip(*(c.to_pylist() for c in search.rows().columns)):
+        got.setdefault(item, []).append((-score, doc))
+    dense = np.zeros((4000, 520), np.int64)
+    dense[np.repeat(np.arange(4000), np.diff(level.first)), level.terms] = level.values
+    for i, own in enumerate(items):
+        scores = dense[:, own] @ weights[own]
+        assert sorted(got[i]) == sorted(zip((-scores).tolist(), range(4000)))[:10]
+    assert sum(met) < 0.2 * 4000 * len(items)
+
+
+def test_query_equals_sql(spark, sf_dir):
+    df = entry_point.queries()["op12_lexical_search"](spark, sf_dir)
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({entry_point.oracle_sql()['op12_lexical_search']})").fetchall()
+    assert sorted(map(tuple, df.collect())) == sorted(want) and want
