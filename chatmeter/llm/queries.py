@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmeter.llm import alignment, covertree, licenses, mixing, packing, secrets, sharding, shards, simhash, tokens, topk, toxicity
+from chatmeter.llm import alignment, covertree, lexical, licenses, mixing, packing, secrets, sharding, shards, simhash, tokens, topk, toxicity, wrappers
 from chatmeter.llm.tables import documents
 from chatmeter.session import scratch_dir
 
@@ -149,3 +149,34 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     path_a, path_b = tokens.vocabulary_path("byte_bpe_50k.json"), tokens.vocabulary_path("piece_bpe_32k.model")
     return alignment.cross_aligned(documents(spark, sf_dir), path_a, path_b)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
+_FOLDED = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SQL["op12_lexical_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS place, doc_id, {_FOLDED} AS terms FROM documents),
+items AS (SELECT DISTINCT item_id, text, unnest({_FOLDED}) AS term FROM benchmark),
+sizes AS (SELECT place, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+total AS (SELECT count(*) AS number, CAST(sum(n) AS BIGINT) AS length FROM sizes),
+counts AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(number) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, total GROUP BY term),
+scores AS (
+  SELECT item_id, text, doc_id, place,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * number) // length)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (place), total GROUP BY ALL),
+places AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM places WHERE rank <= 50
+"""
+
+
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
