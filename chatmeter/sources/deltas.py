@@ -12,7 +12,8 @@ A correction is a small table of keys that no longer count. It is noted at the b
 with them when they are repeated; rows under these keys are left out on reading, until ``compact`` drops
 them for good. Later batches bring such keys back.
 
-Each writer is one stream or job, run once at a time. Corrections and compactions change the log of the
+Each writer is one job, or one run of a stream from its checkpoint, ``<source>@<id of the query>``: a stream that starts
+anew numbers its batches from 0 again, and they are other batches. Writers run once at a time. Corrections and compactions change the log of the
 writers too: stop the streams for a correction; a stream compacts its own batches itself.
 """
 
@@ -44,11 +45,13 @@ class Entry:
     days: tuple[str, ...] = ()  # of tables that lie by day
     arrived: str | None = None
     masks: tuple[str, ...] = ()  # corrections that apply
+    settled: tuple[str, ...] = ()  # corrections that a fold has carried out
 
 
 def writer(kind: str, source: str) -> str:
-    """Jobs and streams of the same name are different writers."""
-    if kind not in KINDS or not source or not set(source) <= _LETTERS:
+    """Jobs and streams of the same name are different writers, as are runs ``name@run`` of a stream."""
+    parts = source.split("@", 1)
+    if kind not in KINDS or not all(x and set(x) <= _LETTERS for x in parts):
         raise ValueError(f"a source name may hold letters, digits, '_', '-' and '.' only: {source!r}")
     return f"{kind}={source}"
 
@@ -97,7 +100,7 @@ def _state(spark: SparkSession, table: str, of: str) -> tuple[int, list[Entry]]:
     if not found:
         return 0, []
     rows = json.loads(read_text(spark, found[-1][1]))
-    return found[-1][0], [Entry(**r | {"days": tuple(r["days"]), "masks": tuple(r["masks"])}) for r in rows]
+    return found[-1][0], [Entry(**{k: tuple(v) if isinstance(v, list) else v for k, v in r.items()}) for r in rows]
 
 
 def _commit(spark: SparkSession, table: str, of: str, version: int, entries: list[Entry]) -> None:
@@ -114,6 +117,12 @@ def writers(spark: SparkSession, table: str) -> list[str]:
     return sorted(s.getPath().getName() for s in listed(spark, f"{table}/_log"))
 
 
+def runs(spark: SparkSession, table: str, kind: str, source: str) -> list[str]:
+    """The writers of a job or stream: itself, and its runs."""
+    of = writer(kind, source)
+    return [w for w in writers(spark, table) if w == of or w.startswith(f"{of}@")]
+
+
 def entries(spark: SparkSession, table: str) -> list[tuple[str, Entry]]:
     """(writer, entry) of all that counts."""
     return [(w, e) for w in writers(spark, table) for e in _state(spark, table, w)[1]]
@@ -154,7 +163,8 @@ def write_delta(
     _commit(spark, table, of, version, [e for e in live if e is not old] + [new])
 
 
-def _rows(spark: SparkSession, table: str, schema: T.StructType, some: list[Entry]) -> DataFrame:
+def rows_of(spark: SparkSession, table: str, schema: T.StructType, some: list[Entry]) -> DataFrame:
+    """The rows of some entries, without those that corrections take out."""
     out = None
     for masks in sorted({e.masks for e in some}):
         paths = [f"{table}/data/batch={e.data}" for e in some if e.masks == masks]
@@ -168,7 +178,7 @@ def _rows(spark: SparkSession, table: str, schema: T.StructType, some: list[Entr
 
 def read_deltas(spark: SparkSession, table: str, schema: T.StructType, without: str | None = None) -> DataFrame:
     """All rows of the table, once each, but for those of one writer; an unwritten table is empty."""
-    return _rows(spark, table, schema, [e for w, e in entries(spark, table) if w != without])
+    return rows_of(spark, table, schema, [e for w, e in entries(spark, table) if w != without])
 
 
 def mask(table: str, keys: DataFrame) -> None:
@@ -186,10 +196,11 @@ Fold = Callable[[DataFrame], DataFrame]
 
 
 def _fold(spark: SparkSession, table: str, of: str, schema: T.StructType, fold: Fold, some: list[Entry], by_day: bool) -> None:
-    data, days = _write_data(fold(_rows(spark, table, schema, some)), table, by_day)
+    data, days = _write_data(fold(rows_of(spark, table, schema, some)), table, by_day)
     version, live = _state(spark, table, of)
     gone = {e.data for e in some}
-    new = Entry(min(e.first for e in some), max(e.last for e in some), data, days)
+    settled = tuple(sorted({m for e in some for m in (*e.masks, *e.settled)}))
+    new = Entry(min(e.first for e in some), max(e.last for e in some), data, days, settled=settled)
     _commit(spark, table, of, version, [e for e in live if e.data not in gone] + [new])
 
 

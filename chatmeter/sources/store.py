@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from chatmeter import schema
 from chatmeter.operators import kpi
 from chatmeter.sources import deltas
+from chatmeter.sources.bitmaps import UserBits
+from chatmeter.sources.clustered import BUCKETS, Followed
 
 
 def _sum(value: str, *keys: str):
@@ -73,11 +75,23 @@ class KpiStore:
 
     def compact(self, source: str, kind: str = "stream", every: int | None = None) -> None:
         for table, (columns, fold) in self.TABLES.items():
-            of, by_day = deltas.writer(kind, source), table in self.BY_DAY
-            deltas.compact(self.spark, self.path(table), of, columns, fold, by_day, every)
+            for of in deltas.runs(self.spark, self.path(table), kind, source):
+                deltas.compact(self.spark, self.path(table), of, columns, fold, table in self.BY_DAY, every)
 
     def vacuum(self, hours: float = 24.0) -> int:
-        return sum(deltas.vacuum(self.spark, self.path(table), hours) for table in self.TABLES)
+        gone = sum(deltas.vacuum(self.spark, self.path(table), hours) for table in self.TABLES)
+        return gone + self.clustered_users().vacuum(hours) + self.user_bits().vacuum(hours)
+
+    # --- made from the tables, in step with them by ``refresh`` ---
+
+    def clustered_users(self, buckets: int = BUCKETS) -> Followed:
+        """All users with their first arrival, by bucket of (bot, user): read without an exchange."""
+        columns, fold = self.TABLES["first_seen"]
+        return Followed(self.spark, self.path("first_seen"), f"{self.root}/clustered/first_seen", columns, kpi.USER, fold, buckets)
+
+    def user_bits(self, buckets: int = BUCKETS) -> UserBits:
+        """The users of each day as bitmaps, for UV over spans of days."""
+        return UserBits(self.spark, self.path("users_day"), f"{self.root}/bitmaps", buckets)
 
     # --- reading ---
 

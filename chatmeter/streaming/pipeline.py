@@ -1,17 +1,18 @@
 """The KPI streams: cleaned requests in micro-batches, appended to the KPI tables.
 
 Streams need no watermark: a late request is counted on its own day. No state is kept in the
-stream either, except by ``start_users_day``; the tables are the state. A restarted query repeats
+stream either, except by ``start_users_day``, which can bound it by one; the tables are the state. A restarted query repeats
 at most its last batch, under the same number, which takes the place of what it had written.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +31,7 @@ PROCESSING_TIME_CASE_SENSITIVE = PROCESSING_TIME | {"ignore_case": False}
 
 EVERY_SECOND = {"processingTime": "1 second"}
 ONCE = {"availableNow": True}
+SKEW = "1 hour"  # by which the clocks of successive drivers of a stream may differ
 UPKEEP = 100  # batches after which a stream compacts
 
 
@@ -102,6 +104,20 @@ def write_all(store: KpiStore, requests: DataFrame, source: str, batch: int) ->
 # --- queries ------------------------------------------------------------------------------------
 
 
+def run_of(spark: SparkSession, source: str, checkpoint: str) -> str:
+    """The writer of a stream's batches: its name and the id that Spark keeps in the checkpoint.
+
+    From the same checkpoint a query goes on under its id and repeats no number but its last; from a new one it
+    has a new id, and its batch 0 is not the one that is there.
+    """
+    return f"{source}@{json.loads(deltas.read_text(spark, f'{checkpoint}/metadata'))['id']}"
+
+
+def _plain_name(source: str) -> None:
+    if "@" in deltas.writer("stream", source):
+        raise ValueError(f"a stream's name holds no '@': {source!r}")
+
+
 def start_kpis(
     lines: DataFrame,
     store: KpiStore,
@@ -114,13 +130,14 @@ def start_kpis(
 ) -> StreamingQuery:
     """Run ``write`` on each cleaned micro-batch of ``lines`` (topic, value).
 
-    ``source`` names the stream and must stay the same over restarts, as must ``checkpoint``: from
-    there the query goes on where it stopped, or starts anew when the folder is empty. Every ``upkeep``
+    ``source`` names the stream. From ``checkpoint`` the query goes on where it stopped; where the folder is empty it
+    starts anew, and what it then reads is added to what is there. Every ``upkeep``
     batches the stream compacts its batches by levels and deletes what is obsolete for a day; 0: never.
     """
+    _plain_name(source)
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        write(store, batch, source, batch_id)
+        write(store, batch, run_of(store.spark, source, checkpoint), batch_id)
         if upkeep and (batch_id + 1) % upkeep == 0:
             store.compact(source, every=upkeep)
             store.vacuum()
@@ -129,30 +146,60 @@ def start_kpis(
 
 
 def start_users_day(
-    lines: DataFrame, store: KpiStore, checkpoint: str, source: str, trigger: dict = EVERY_SECOND, **cleaning
+    lines: DataFrame,
+    store: KpiStore,
+    checkpoint: str,
+    source: str,
+    trigger: dict = EVERY_SECOND,
+    retention: str | None = None,
+    clock: Column | None = None,
+    **cleaning,
 ) -> StreamingQuery:
     """Users of each day, each written once in all, with the seen ones in the state store.
 
     A running aggregate combines on the map side before it meets the state, so a user with a large
-    share of the requests costs one row per task; ``dropDuplicates`` would send all those rows to
-    one task. First and last arrival are the same exactly in the batch that brings a user.
-
-    The state holds every (bot, day, user) for good, hashed over the shuffle partitions, so give
-    it the RocksDB provider, as ``local_session`` does. ``write_users`` needs no state.
+    share of the requests costs one row per task; ``dropDuplicates``, within a watermark or not, would send all
+    those rows to one task. First and last arrival are the same exactly in the batch that brings a user.
+
+    Without ``retention`` the state holds every (bot, day, user) for good. With one (``'3 days'``) an event-time watermark
+    follows the days and the state holds the users of the days within it. What the watermark may leave out goes past the
+    state into the table, where a user of a day counts once however often written: all rows of days older than the clock less
+    the retention. The watermark never passes that point, as days ahead of the clock move it no further than the clock; clocks of
+    drivers may differ by ``SKEW``. ``clock`` is the time of arrival unless given, as for a replay of old
+    logs, in which all days would be late.
+
+    The state is hashed over the shuffle partitions of the first start; give it the RocksDB provider, as
+    ``local_session`` does. ``write_users`` needs no state.
     """
-    visits = cleaned(lines, **cleaning).groupBy("bot_name", "day", "user_id")
-    arrivals = visits.agg(F.min("arrived").alias("first"), F.max("arrived").alias("last"))
+    _plain_name(source)
+    requests = cleaned(lines, **cleaning)
+    if retention is None:
+        out = _arrivals(requests.groupBy("bot_name", "day", "user_id")).withColumn("late", F.lit(False))
+    else:
+        now = F.col("arrived") if clock is None else clock.cast("timestamp")
+        requests = requests.withColumn("at", F.least(F.col("day").cast("timestamp"), now))
+        late = requests.where(F.col("at") <= now - F.expr(f"INTERVAL {retention}") + F.expr(f"INTERVAL {SKEW}"))
+        late = late.select("bot_name", "day", "user_id", F.col("arrived").alias("first"), F.col("arrived").alias("last"), F.lit(True).alias("late"))
+        held = _arrivals(requests.withWatermark("at", retention).groupBy("bot_name", "day", "user_id", "at"))
+        out = held.drop("at").withColumn("late", F.lit(False)).unionByName(late)
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        store.append("users_day", batch.where(F.col("first") == F.col("last")), source, batch_id)
+        new = batch.where("late or first = last")
+        new = new if retention is None else new.select("bot_name", "day", "user_id").distinct()
+        store.append("users_day", new, run_of(store.spark, source, checkpoint), batch_id)
+
+    return per_batch(out, action, checkpoint).outputMode("update").trigger(**trigger).start()
+
 
-    return per_batch(arrivals, action, checkpoint).outputMode("update").trigger(**trigger).start()
+def _arrivals(visits: GroupedData) -> DataFrame:
+    return visits.agg(F.min("arrived").alias("first"), F.max("arrived").alias("last"))
 
 
 def start_word_count(lines: DataFrame, table: str, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:
     """Word counts of each micro-batch, no running total."""
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        deltas.write_delta(word_count(batch).to(WORD_COUNTS), table, "stream", "words", batch_id)
+        of = run_of(lines.sparkSession, "words", checkpoint)
+        deltas.write_delta(word_count(batch).to(WORD_COUNTS), table, "stream", of, batch_id)
 
     return per_batch(lines, action, checkpoint).trigger(**trigger).start()

@@ -5,6 +5,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from chatmeter.operators import kpi
 from chatmeter.operators.clean import clean_events
@@ -220,3 +221,52 @@ def test_console_output(spark, tmp_path):
     query = writer.trigger(**pipeline.ONCE).start()
     query.awaitTermination()
     assert query.lastProgress is None or query.exception() is None
+
+
+def test_a_stream_that_starts_anew_adds(spark, feed, tmp_path):
+    """A fresh checkpoint numbers batches from 0 again: they are other batches, before a compaction and after."""
+    store = KpiStore(spark, str(tmp_path / "kpi"))
+
+    def start(number, lines):
+        folder = tmp_path / f"in{number}" / "topic=chatlog_adult"
+        folder.mkdir(parents=True)
+        (folder / "0.txt").write_text("\n".join(lines) + "\n")
+        source = stream_lines(spark, str(folder.parent), max_files=1)
+        query = pipeline.start_kpis(source, store, str(tmp_path / f"c{number}"), "logs", trigger=pipeline.ONCE)
+        query.awaitTermination()
+
+    def pv():
+        return {r.bot_name: r.pv for r in store.pv_total().collect()}
+
+    start(1, [log("a", f"u{i}", 1) for i in range(10)])
+    start(2, [log("a", f"u{i}", 2) for i in range(14)])
+    assert pv() == {"a": 24}
+    store.compact("logs")
+    start(3, [log("a", "u1", 3), log("b", "u1", 3)])
+    assert pv() == {"a": 25, "b": 1}
+    assert {r.uv for r in kpi.uv_total(store.users_total()).collect() if r.bot_name == "a"} == {14}
+    store.compact("logs", every=2)
+    assert pv() == {"a": 25, "b": 1}
+    with pytest.raises(ValueError):
+        pipeline.start_kpis(stream_lines(spark, str(tmp_path / "in1")), store, str(tmp_path / "c4"), "a@b")
+
+
+def test_users_of_days_within_a_watermark(spark, feed, tmp_path):
+    """Late rows reach the table past the state; the state holds the days within the retention only."""
+    store = KpiStore(spark, str(tmp_path / "kpi"))
+    days = [[1, 2, 2], [8, 8, 9], [2, 3, 9], [9, 8, 1]]
+    clock = F.lit("2024-01-10 00:00:00")
+    for k, some in enumerate(days):
+        folder = feed([("adult", [log("a", f"u{i % 2}", d) for i, d in enumerate(some)] + [log("hot", "u", some[-1])] * 500)])
+        lines = stream_lines(spark, folder, max_files=1)
+        query = pipeline.start_users_day(
+            lines, store, str(tmp_path / "c"), "users", trigger=pipeline.ONCE, retention="3 days", clock=clock
+        )
+        query.awaitTermination()
+    want = {("a", d, f"u{i % 2}") for some in days for i, d in enumerate(some)} | {("hot", some[-1], "u") for some in days}
+    got = [(r.bot_name, r.day.day, r.user_id) for r in store.users_day().collect()]
+    assert sorted(got) == sorted(want)
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] <= len({w for w in want if w[1] >= 6})
+    on_time = [(r.bot_name, r.day.day, r.user_id) for r in store.rows("users_day").collect() if r.day.day > 7]
+    assert len(on_time) == len(set(on_time))  # those were written once in all
