@@ -368,12 +368,89 @@ def test_fuzzy_licenses_give_label_and_span(text, label, edits):
         assert got["labels"] == [] and got["score"] == 0.0
 
 
+def untold(notice):
+    """Places of the letters of a notice that are in no telling word."""
+    words = [w.span() for w in re.finditer(r"\S+", notice.text) if w[0].translate(licenses._LOOKS) in notice.telling]
+    return [i for i in range(len(notice.text)) if not any(a - 1 <= i <= b for a, b in words)]
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Apache License, Version 1.1", ["apache-1"]),
+        ("Apache License, Version 2.0", ["apache-2"]),
+        ("Apache License, Version 3", []),
+        ("Apache License, Version 20", []),
+        ("Licensed under CC BY ND", ["cc-by-nd"]),
+        ("licensd under cc by sa 4.0", ["cc-by-sa"]),
+        ("licensed under CC BY-NC-SA", ["cc-by-nc", "cc-by-nc-sa"]),
+        ("under the SIL license", ["ofl"]),
+        ("under the EIT license", []),
+        ("under the bit license", []),
+        ("under the ISC license", ["isc"]),
+        ("under the BSD licence", ["bsd"]),
+        ("Creative Commons Attribution NonCommercial", ["cc-by-nc"]),
+        ("Creative Commons Attribution Non-Commerial", ["cc-by-nc"]),
+        ("Creative Commons Attribution Share Alike", ["cc-by-sa"]),
+        ("Creative Commons Attribution 4.0", ["cc-by"]),
+        ("GNU General Public License, version 2", ["gpl-2"]),
+        ("GNU Generl Public License version 3", ["gpl-3"]),
+        ("GNU Lesser General Public License version 2.1", ["lgpl-2.1"]),
+        ("GNU Affero General Public License", ["agpl"]),
+        ("the BSD 3-Clause License", ["bsd-3"]),
+        ("under the mit license and under the isc license", ["isc", "mit"]),
+    ],
+)
+def test_near_misses_get_their_own_label_or_none(text, labels):
+    assert licenses.scan(f"Some words. {text} and more.")["labels"] == labels
+
+
+def fewest_edits(notice, line):
+    """The fewest edits between a notice and any part of a line, by dynamic programming over all ends."""
+    row = [0] * (len(line) + 1)
+    for i, a in enumerate(notice, 1):
+        last, row = row, [i] + [0] * len(line)
+        for j, b in enumerate(line, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (a != b))
+    return min(row)
+
+
+def test_all_notices_within_their_edits_are_met():
+    """Against every part of lines that hold mutated notices."""
+    rng = np.random.default_rng(8)
+    for _ in range(25):
+        words = []
+        for k in rng.choice(len(licenses.ALL), 2):
+            letters = list(licenses.ALL[k].text)
+            for _ in range(rng.integers(0, 5)):
+                at = int(rng.integers(0, len(letters)))
+                letters[at : at + int(rng.integers(0, 2))] = [str(rng.choice(list("aeinrst ")))]
+            words += ["lorem", "".join(letters), "ipsum"]
+        line = " ".join(" ".join(words).split())
+        near = {k: fewest_edits(n.text, line) for k, n in enumerate(licenses.ALL)}
+        met = {}
+        for a, b, k, edits in licenses.within(line.encode()):
+            assert fewest_edits(licenses.ALL[k].text, line[a:b]) <= edits <= licenses.ALL[k].edits
+            met[k] = min(edits, met.get(k, edits))
+        assert set(met) == {k for k, e in near.items() if e <= licenses.ALL[k].edits}
+
+
+def test_license_query_is_the_scan_of_each_text(spark, sf_dir, texts):
+    rows = entry_point.queries()["op10_license_scans"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        got = licenses.scan(texts[r.doc_id])
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.score) == tuple(got[c] for c in ("n_words", "n_base", "first_word", "last_word", "score"))
+        assert (r.base_labels, r.labels) == (",".join(got["base_labels"]), ",".join(got["labels"]))
+
+
 def test_every_notice_with_few_edits_is_found():
     rng = np.random.default_rng(2)
-    for notice, label, most, _, _ in licenses.SEEDS:
+    for n in licenses.ALL:
+        notice, label, most = n.text, n.label, n.edits
         for _ in range(20):
             letters = list(notice)
-            for at in rng.choice(range(1, len(notice) - 1), most, replace=False):
+            for at in rng.choice(untold(n)[1:-1], most, replace=False):
                 letters[at] = "q" if letters[at] != " " else " "
             assert label in licenses.scan("xx yy " + "".join(letters) + " zz")["labels"], "".join(letters)
 
@@ -382,8 +459,9 @@ def test_every_notice_with_few_edits_is_found():
 @pytest.mark.parametrize("instead", [0, 1])
 def test_every_notice_with_edits_of_several_bytes_is_found(letter, instead):
     rng = np.random.default_rng(4)
-    for notice, label, most, _, _ in licenses.SEEDS:
-        inside = [i for i in range(1, len(notice) - 1) if notice[i] != " "]
+    for n in licenses.ALL:
+        notice, label, most = n.text, n.label, n.edits
+        inside = [i for i in untold(n) if 0 < i < len(notice) - 1 and notice[i] != " " and notice[i - 1] != " "]
         places = [inside[:most], inside[-most:], *(sorted(rng.choice(inside, most, replace=False)) for _ in range(20))]
         for chosen in places:
             text = notice
