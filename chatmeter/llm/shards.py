@@ -1,7 +1,7 @@
 """Token sequences written in training order, as binary shards of fixed stride.
 
 The documents of an input partition are tokenized, each followed by the end id, and cut into sequences of equal
-length; only the last of a partition is padded. The sequences are written once, compressed; a written
+length; only the last of a partition is padded, with an id that no token has. The sequences are written once, compressed; a written
 row's file and place there number all of them without gaps, and stay the same when a task is repeated. A keyed Feistel network permutes the numbers: four rounds over
 the next even power of two, walked on until the value lies in range again, so it is a permutation for any
 count, computed by each task for itself. The permuted number is the sequence's slot.
@@ -11,7 +11,7 @@ A sequence takes ``2 * length + 2`` bytes: little-endian unsigned 16-bit ids and
 starts at byte ``(s % per_shard) * stride`` of shard ``s // per_shard``, and a run can go on from any slot.
 
 Edge cases: a null or empty text gives its end id alone; repeated rows are written each; an
-empty table gives no shards; other columns are ignored.
+empty table gives no shards; other columns are ignored. A vocabulary with ids of ``PAD_ID`` or more is refused.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from chatmeter.llm import tokens
 from chatmeter.llm.tables import saved, slices
 
-END_ID, PAD_ID = 1, 0
+END_ID = 1
+PAD_ID = 0xFFFF  # of no token: ids of a vocabulary that is written here are lower
+SLICE = 2 << 20  # bytes of text that are tokenized together
 PER_SHARD = 8192
 
 
@@ -53,10 +55,18 @@ def permuted(numbers: np.ndarray, count: int, seed: int, rounds: int = 4) -> np.
     return out.astype(np.int64)
 
 
+def check_vocabulary(tokenizer: str) -> None:
+    """Ids are written in 16 bits, so wider ones would come back as others."""
+    widest = max(max(tokens.words(tokenizer).tokenizer.get_vocab().values()), END_ID)
+    tokens.forget()  # the driver tokenizes nothing
+    if widest >= PAD_ID:
+        raise ValueError(f"{tokenizer} has ids up to {widest}; shards hold ids under {PAD_ID}")
+
+
 def _sequences(batches: Iterator[pa.RecordBatch], path: str, length: int) -> Iterator[np.ndarray]:
     """Blocks of whole sequences of a partition, as rows of ids; the last row padded."""
     words, rest = tokens.words(path), np.zeros(0, np.uint32)
-    for batch in slices(batches, "text", 8 << 20):
+    for batch in slices(batches, "text", SLICE):
         ids, sizes = words.encode(batch.column("text"))
         ids = np.insert(ids, np.cumsum(sizes), END_ID)
         ids = np.concatenate((rest, ids))
@@ -87,6 +97,7 @@ def _binary(rows: np.ndarray, size: int) -> pa.Array:
 
 def write(docs: DataFrame, path: str, tokenizer: str, length: int = 1024, per_shard: int = PER_SHARD, seed: int = 0) -> int:
     """Writes the shards under ``path``; gives the number of sequences."""
+    check_vocabulary(tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids in _sequences(batches, tokenizer, length):
@@ -152,7 +163,8 @@ def digests(sequences: DataFrame) -> DataFrame:
         for batch in batches:
             n, checks = [], []
             for raw in batch.column("ids"):
-                ids = np.trim_zeros(np.frombuffer(raw.as_buffer(), "<u2"), "b").astype("<u4")
+                ids = np.frombuffer(raw.as_buffer(), "<u2")
+                ids = ids[ids != PAD_ID].astype("<u4")
                 n.append(len(ids))
                 checks.append(zlib.crc32(ids.tobytes()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int32()), pa.array(checks, pa.int64())], ["slot", "shard", "byte_offset", "n_ids", "ids_crc32"])

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORDS_KEPT = 1_000_000  # words that a worker remembers; then it starts anew
+WORD_BYTES = 32 << 20  # that a worker remembers words with, about; then it starts anew
 
 # A worker's memory of words outlives the task that fills it.
 _KEPT = sys.modules.setdefault("chatmeter_kept_words", types.ModuleType("chatmeter_kept_words")).__dict__
@@ -37,7 +37,11 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
+        self.held = 0
 
     def _learn(self, words: list[str]) -> None:
         # A word of letters is one unit of the tokenizer, so many can go in one line and be told apart.
@@ -52,8 +56,12 @@ class Words:
                 continue
             raw = ids.tobytes()
             self.known.update((w, raw[i:j]) for w, i, j in zip(line, [0, *cuts], cuts))
+            self.held += len(raw)
         for w in other:
             self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+            self.held += len(self.known[w])
+        # Two objects and a place in the dictionary; a letter takes one byte here, or two to four.
+        self.held += 190 * len(words) + 2 * sum(map(len, words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in a row, how many each text has). A null text has none."""
@@ -70,8 +78,8 @@ class Words:
         ends = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
         words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.known) > WORDS_KEPT:
-            self.known = {"": b""}
+        if self.held > WORD_BYTES:
+            self._forget()
         self._learn([w for w in words if w not in self.known])
         parts = [self.known[w] for w in words]
         ids = np.frombuffer(b"".join(parts), "<u4")

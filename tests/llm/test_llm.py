@@ -552,10 +552,16 @@ def test_shards_hold_every_token_and_resume_from_any_slot(spark, docs, texts, tm
     for r in one.collect():
         stream += [*tokens.words(PATH).tokenizer.encode(r.text, add_special_tokens=False).ids, 1]
     want = [stream[i : i + 128] for i in range(0, len(stream), 128)]
-    want[-1] += [0] * (128 - len(want[-1]))
+    lengths = [len(w) for w in want]
+    checks = [zlib.crc32(np.array(w, "<u4").tobytes()) for w in want]
+    want[-1] += [shards.PAD_ID] * (128 - len(want[-1]))
     slots = shards.permuted(np.arange(total), total, 5)
     got = {r.slot: np.frombuffer(bytes(r.ids), "<u2").tolist() for r in rows}
     assert all(got[int(s)] == w for s, w in zip(slots, want))
+    digests = {r.slot: r for r in shards.digests(shards.read(spark, path, length=128, per_shard=64)).collect()}
+    for slot, n, check in zip(slots.tolist(), lengths, checks):
+        r = digests[slot]
+        assert (r.n_ids, r.ids_crc32, r.shard, r.byte_offset) == (n, check, slot // 64, slot % 64 * shards.stride(128))
     for file in (tmp_path / "shards").glob("shard=*/part-*"):
         k = int(file.parent.name.removeprefix("shard="))
         assert file.stat().st_size == shards.stride(128) * min(64, total - 64 * k)
@@ -567,6 +573,51 @@ def test_token_shards_on_odd_tables(spark, odd, none, tmp_path):
     assert shards.write(none, str(tmp_path / "none"), PATH) == 0
 
 
+def test_digests_count_every_id(spark, tmp_path):
+    """Id 0 is a token like any other, also where a sequence ends with it."""
+    text = "!§!?!"
+    ids = [*tokens.words(PATH).tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert 0 in ids
+    for length in (1, 2, 3):
+        path = str(tmp_path / f"s{length}")
+        total = shards.write(spark.createDataFrame([(text,)], "text string"), path, PATH, length=length)
+        rows = shards.digests(shards.read(spark, path, length=length)).collect()
+        parts = [ids[i : i + length] for i in range(0, len(ids), length)]
+        assert total == len(parts)
+        assert sorted((r.n_ids, r.ids_crc32) for r in rows) == sorted((len(p), zlib.crc32(np.array(p, "<u4").tobytes())) for p in parts)
+
+
+def test_token_shards_query(spark, sf_dir, texts):
+    """What the query returns, against the tokens of all texts."""
+    rows = entry_point.queries()["op8_token_shards"](spark, sf_dir).collect()
+    encode = tokens.words(PATH).tokenizer.encode
+    total = sum(len(encode(t or "", add_special_tokens=False).ids) + 1 for t in texts.values())
+    assert sum(r.n_ids for r in rows) == total
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    assert all(r.shard == r.slot // shards.PER_SHARD and r.byte_offset == r.slot % shards.PER_SHARD * shards.stride(1024) for r in rows)
+    assert len([r for r in rows if r.n_ids < 1024]) <= spark.read.parquet(f"{sf_dir}/documents.parquet").rdd.getNumPartitions()
+
+
+def test_wide_vocabularies_are_refused(spark, tmp_path):
+    from tokenizers import Tokenizer
+    from tokenizers.models import BPE
+
+    path = str(tmp_path / "wide.json")
+    Tokenizer(BPE({"a": 0, "b": 65535}, [])).save(path)
+    with pytest.raises(ValueError, match="65535"):
+        shards.write(spark.createDataFrame([("a",)], "text string"), str(tmp_path / "x"), path)
+
+
+def test_words_are_remembered_up_to_a_bound(texts, monkeypatch):
+    monkeypatch.setattr(tokens, "WORD_BYTES", 20_000)
+    words, given = tokens.Words(PATH), list(texts.values())[:40]
+    for text in given:
+        ids, _ = words.encode(tokens.pa.array([text]))
+        assert ids.tolist() == words.tokenizer.encode(text or "", add_special_tokens=False).ids
+        new = 190 * len(set(text.split())) * 3 + 20 * len(text)
+        assert words.held <= 20_000 + new
+
+
 # --- sharding -------------------------------------------------------------------------------------
 
 
@@ -650,6 +701,29 @@ def test_topk_on_awkward_vectors(spark):
     assert topk.search(vectors(spark, []), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("size", [63, 64, 65, 128])
+def test_topk_takes_every_component(spark, size):
+    """Codes of one and two words, against all pairs; an id repeated more often than k."""
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(120, size))
+    x[60:100] = x[:40] * np.where(rng.random((40, size)) < 0.1, -1, 1)
+    x[100] = np.concatenate([x[0, :-1], -x[0, -1:]])  # differs from the first in its last component only
+    ids = [*range(110), *[100] * 5, *[7] * 5]
+    rows = [(i, v.tolist()) for i, v in zip(ids, x)] + [(500, x[3, : size - 1].tolist())]
+    got = sorted(tuple(r) for r in topk.search(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=4, cell=16).collect())
+    signs = np.array([np.pad(np.array(v) > 0, (0, size - len(v))) for _, v in rows])
+    want = []
+    for q in sorted({(i, tuple(s)) for (i, _), s in zip(rows, signs.tolist()) if i % 20 == 0}):
+        near = sorted((int((np.array(q[1]) != s).sum()), i) for (i, _), s in zip(rows, signs) if i != q[0])
+        want.append((q[0], near))
+    for i in {q for q, _ in want}:
+        near = sorted({(d, j, n) for q, found in want if q == i for n, (d, j) in enumerate(found)}, key=lambda x: x[:2])
+        own = [(r, j, d) for v, r, j, d in got if v == i]
+        assert [r for r, _, _ in own] == [1, 2, 3, 4]
+        assert [d for _, _, d in own] == [d for d, _, _ in near][:4] or len([q for q, _ in want if q == i]) > 1
+    assert (0, 1, 100, 1) in got
+
+
 # --- pipeline -------------------------------------------------------------------------------------
 
 
