@@ -320,6 +320,7 @@ def induced(pages: DataFrame) -> DataFrame:
         # Hosts of many outlines are merged in as many groups as they fill; each round leaves a host one for a group.
         size = now.groupBy("host").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
         dealt = now.join(size, "host").withColumn("dealt", F.pmod(F.xxhash64("state"), "groups"))
+        dealt = dealt.repartition("host", "dealt")  # else the groups of a host stay together where the join has put them
         now = saved(dealt.groupBy("host", "dealt").applyInArrow(_merged, "host string, state string"), "wrappers")
 
 
