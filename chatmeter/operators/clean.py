@@ -16,6 +16,7 @@ def clean_events(
     strip_ids: bool = False,
     day_mode: str = "event",
     as_of: str | None = None,
+    kind: str = chatlog.REQUEST_KIND,
 ) -> DataFrame:
     """Keep real user requests and give them the columns of ``schema.REQUEST``.
 
@@ -25,6 +26,7 @@ def clean_events(
 
     ``day_mode="event"`` takes the day from the line and the stripped time text as the second.
     ``day_mode="processing"`` takes today (``as_of`` when given) and the time text as it stands.
+    ``kind`` other than requests keeps lines of that kind, by the same rules.
     """
     if day_mode not in ("event", "processing"):
         raise ValueError(f"day_mode must be 'event' or 'processing', not {day_mode!r}")
@@ -37,7 +39,7 @@ def clean_events(
     requests = (
         lines.select(product.alias("product"), F.explode(F.array(F.split("value", "\t", 5))).alias("fields"))
         .where(F.size(fields) > chatlog.PAYLOAD_FIELD)
-        .where(field(fields, chatlog.KIND_FIELD) == chatlog.REQUEST_KIND)
+        .where(field(fields, chatlog.KIND_FIELD) == kind)
         .select(
             "product",
             field(fields, chatlog.TIME_FIELD).alias("raw_time"),

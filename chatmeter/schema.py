@@ -31,6 +31,8 @@ DIM_BOT = _struct("type string, bot_name string")
 # Rows as the jobs append them (see sources/deltas.py); the KPI tables are read-time aggregates.
 QPS_DELTA = _struct("product string, bot_name string, day date, second string, requests bigint")
 FIRST_SEEN_DELTA = _struct("bot_name string, user_id string, day date, arrived timestamp")
+ANSWERS = _struct("bot_name string, user_id string, day date, asked timestamp, answered timestamp")
+SESSIONS = _struct("bot_name string, user_id string, day date, started timestamp, ended timestamp, requests bigint")
 
 WORD_COUNTS = _struct("word string, cnt bigint")
 PEOPLE_TEXT = _struct("name string, age string")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmeter import schema
-from chatmeter.operators import kpi
+from chatmeter.operators import kpi, timed
 from chatmeter.sources import deltas
 from chatmeter.sources.bitmaps import UserBits
 from chatmeter.sources.clustered import BUCKETS, Followed
@@ -39,8 +39,10 @@ class KpiStore:
         "qps": (schema.QPS_DELTA, _sum("requests", "product", "bot_name", "day", "second")),
         "users_day": (schema.USERS_DAY, lambda df: df.distinct()),
         "first_seen": (schema.FIRST_SEEN_DELTA, _earliest),
+        "answers": (schema.ANSWERS, timed.first_answers),
+        "sessions": (schema.SESSIONS, lambda df: df.distinct()),
     }
-    BY_DAY = ("pv_day", "qps", "users_day")  # with a folder for each day inside a batch's data
+    BY_DAY = ("pv_day", "qps", "users_day", "answers", "sessions")  # with a folder for each day inside a batch's data
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
