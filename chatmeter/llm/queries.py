@@ -122,6 +122,20 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
 
 
+SQL["op6_embedding_near_dedup"] = """
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL),
+usable AS (SELECT vec_id, v FROM vectors WHERE isfinite(list_sum(list_transform(v, lambda x: x * x))) AND list_sum(list_transform(v, lambda x: x * x)) > 0
+  AND len(list_filter(v, lambda x: x IS NULL)) = 0),
+links AS (SELECT a.vec_id AS one, b.vec_id AS other FROM usable a JOIN usable b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (SELECT vec_id AS one, vec_id AS other FROM vectors UNION SELECT r.one, l.other FROM reached r JOIN links l ON l.one = r.other),
+numbers AS (SELECT one, count(*) AS n FROM links GROUP BY one),
+roots AS (SELECT one, min(other) AS root FROM reached GROUP BY one)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, root AS component_id, vec_id = root AS kept
+FROM vectors JOIN roots ON vec_id = roots.one LEFT JOIN numbers ON vec_id = numbers.one
+"""
+
+
 @query
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10)

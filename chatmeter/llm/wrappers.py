@@ -40,7 +40,7 @@ from chatmeter.llm.tables import saved, slices
 FEW = 4  # different pages with a node before its text can be called constant
 SAME = 0.6  # share of them with the same text
 NEARLY_ALL = 0.75  # share of the varying text that the article holds
-GROUP = 2000  # outlines or wrappers that one task merges
+GROUP = 400  # outlines or wrappers that one task merges
 RUN, WIDE = 8, 64  # like neighbours, and children, before they are taken together
 TEXTS = 8  # texts counted for a node; a rarer one makes room
 RESULT = "page_id long, url string, text string, n_chars long"

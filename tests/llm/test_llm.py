@@ -134,7 +134,7 @@ def test_simhash_on_odd_tables(odd, none):
 # --- mixing ---------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("name", ["op2_source_mixing", "op9_exact_topk"])
+@pytest.mark.parametrize("name", ["op2_source_mixing", "op6_embedding_near_dedup", "op9_exact_topk"])
 def test_queries_equal_their_sql(spark, sf_dir, duck, name):
     df = entry_point.queries()[name](spark, sf_dir)
     want = duck.execute(f"SELECT {', '.join(df.columns)} FROM ({entry_point.oracle_sql()[name]})").fetchall()
@@ -661,9 +661,11 @@ def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
 
 
-@pytest.mark.parametrize("size", [4096, 40])
-def test_cover_tree_links_equal_brute_force(spark, size):
-    """Loose points, dense groups of several widths, equal vectors; small parts make many pairs of trees."""
+@pytest.mark.parametrize(("size", "heads"), [(4096, 2000), (40, 2000), (12, 3)])
+def test_cover_tree_links_equal_brute_force(spark, monkeypatch, size, heads):
+    """Loose points, dense groups of several widths, equal vectors; small parts make many pairs of trees, over levels of pivots."""
+    monkeypatch.setattr(covertree, "HEADS", heads)
+    monkeypatch.setattr(covertree, "PIVOTS", 64 if size > 12 else 5)
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 8))
     for width in (0.02, 0.1, 0.2):
@@ -678,6 +680,37 @@ def test_cover_tree_links_equal_brute_force(spark, size):
     assert all(got[i].kept == (roots[i] == i) for i in got)
 
 
+def test_parts_of_clusters_do_not_all_meet(spark):
+    """Groups far apart get centres and radii of their own, so most pairs of parts are never formed; large cells are taken apart."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 16))
+    x = np.concatenate([c + 0.15 * rng.normal(size=(40, 16)) for c in centres])
+    rows = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "rep long, weight long, v array<double>")
+    parts = covertree._parts(covertree._cells(rows, 20))
+    number = parts.count()
+    meet = covertree._meeting(parts, float(np.sqrt(0.1))).collect()
+    assert number >= 30 and len(meet) < 0.3 * number * (number + 1) / 2
+    assert all(m.i <= m.j for m in meet) and len(set(meet)) == len(meet)
+    held = {r.part: covertree._restored(r.blob) for r in parts.collect()}
+    assert sorted(i for p in held.values() for i in p.reps.tolist()) == list(range(len(x)))
+    assert max(len(p.reps) for p in held.values()) <= 60
+    place = {i: k for k, p in held.items() for i in p.reps.tolist()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    formed = {(m.i, m.j) for m in meet}
+    for i, j in zip(*np.nonzero(np.triu(u @ u.T >= 0.95))):
+        a, b = sorted((place[i], place[j]))
+        assert (a, b) in formed
+
+
+def test_shadows_are_never_farther_apart():
+    rng = np.random.default_rng(7)
+    for d, k in ((64, 16), (5, 2), (300, 75)):
+        x = covertree._unit(rng.normal(size=(60, d)) * rng.gamma(1, 1, d))
+        s = covertree._shadows(x, rng.choice(d, k, replace=False)).astype(float)
+        assert np.abs((s * s).sum(axis=1) - 1).max() < 1e-6
+        assert (s @ s.T >= x @ x.T - 1e-6).all()
+
+
 def test_vectors_that_cannot_link(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [1.0, 0.0, 0.0]), (2, [1e-200, 0.0]), (9, [1e300, 1e299])]
     got = sorted((r.vec_id, r.n_links, r.component_id) for r in covertree.links(vectors(spark, rows)).collect())

@@ -129,7 +129,7 @@ def site(n):
     return out
 
 
-@pytest.mark.parametrize("group", [2000, 3])
+@pytest.mark.parametrize("group", [400, 3])
 def test_induction_tells_template_from_slots(spark, monkeypatch, group):
     """Also where one task merges few outlines; copies of a page are no template."""
     monkeypatch.setattr(wrappers, "GROUP", group)
