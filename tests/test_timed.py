@@ -72,7 +72,7 @@ def test_first_response_within_the_span_answers(spark, rows):
 def feed(spark, tmp_path, parts, start, **options):
     """Each part read by a new query from the same checkpoint; the last one moves the watermark past all others."""
     store = KpiStore(spark, str(tmp_path / "kpi"))
-    for k, part in enumerate([*parts, [("z", "z", "01-09 00:00:00"), ("z", "z", "01-09 00:00:00", "RESP")]]):
+    for k, part in enumerate([*parts, [("z", "z", "01-20 00:00:00"), ("z", "z", "01-20 00:00:00", "RESP")]]):
         lines(spark, part).write.mode("append").parquet(str(tmp_path / "in"))
         source = spark.readStream.schema("topic string, value string").parquet(str(tmp_path / "in"))
         start(source, store, str(tmp_path / "c"), "s", trigger=pipeline.ONCE, **options).awaitTermination()
