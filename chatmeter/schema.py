@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType()}
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(), "binary": T.BinaryType()}
 
 
 def _struct(columns: str) -> T.StructType:
@@ -33,6 +33,7 @@ QPS_DELTA = _struct("product string, bot_name string, day date, second string, r
 FIRST_SEEN_DELTA = _struct("bot_name string, user_id string, day date, arrived timestamp")
 ANSWERS = _struct("bot_name string, user_id string, day date, asked timestamp, answered timestamp")
 SESSIONS = _struct("bot_name string, user_id string, day date, started timestamp, ended timestamp, requests bigint")
+SKETCHES = _struct("bot_name string, day date, sketch binary")
 
 WORD_COUNTS = _struct("word string, cnt bigint")
 PEOPLE_TEXT = _struct("name string, age string")

@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatmeter.session import hadoop_path
@@ -75,11 +76,11 @@ class Clustered:
             f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{place}'"
         )
         there = {r[0].removeprefix("generation=") for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
-        for verb, names in (("ADD IF NOT EXISTS", set(wanted) - there), ("DROP IF EXISTS", there - set(wanted))):
-            if names:
-                listed = [f"PARTITION (generation='{g}')" for g in sorted(names)]
-                self.spark.sql(f"ALTER TABLE {self.name} {verb} {(', ' if verb.startswith('DROP') else ' ').join(listed)}")
-        return self.spark.table(self.name).select(*self.schema.fieldNames())
+        new = [f"PARTITION (generation='{g}')" for g in sorted(set(wanted) - there)]
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {' '.join(new)}")
+        # Other generations may be known to the catalog for other versions; they are pruned.
+        return self.spark.table(self.name).where(F.col("generation").isin(wanted)).select(*self.schema.fieldNames())
 
     def folded(self) -> DataFrame:
         return self.fold(self.rows())

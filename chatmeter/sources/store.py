@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmeter import schema
-from chatmeter.operators import kpi, timed
+from chatmeter.operators import history, kpi, timed
 from chatmeter.sources import deltas
 from chatmeter.sources.bitmaps import UserBits
 from chatmeter.sources.clustered import BUCKETS, Followed
@@ -41,8 +41,10 @@ class KpiStore:
         "first_seen": (schema.FIRST_SEEN_DELTA, _earliest),
         "answers": (schema.ANSWERS, timed.first_answers),
         "sessions": (schema.SESSIONS, lambda df: df.distinct()),
+        "user_sketches": (schema.SKETCHES, history.merged_users),
+        "load_sketches": (schema.SKETCHES, history.merged_loads),
     }
-    BY_DAY = ("pv_day", "qps", "users_day", "answers", "sessions")  # with a folder for each day inside a batch's data
+    BY_DAY = ("pv_day", "qps", "users_day", "answers", "sessions", "user_sketches", "load_sketches")  # with a folder for each day inside a batch's data
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -135,9 +137,9 @@ class KpiStore:
     def qps_product(self) -> DataFrame:
         return _sum("requests", "product", "day", "second")(self.rows("qps"))
 
-    def overall_totals(self) -> DataFrame:
-        """Total PV and UV over the bots."""
-        uv = self.users_total().agg(F.lit(0).cast("bigint").alias("pv"), F.count(F.lit(1)).alias("uv"))
+    def overall_totals(self, users: DataFrame | None = None) -> DataFrame:
+        """Total PV and UV over the bots; ``users`` holds each (bot, user) once where given."""
+        uv = (self.users_total() if users is None else users).agg(F.lit(0).cast("bigint").alias("pv"), F.count(F.lit(1)).alias("uv"))
         pv = self.rows("pv_total").agg(F.coalesce(F.sum("pv"), F.lit(0)).alias("pv"), F.lit(0).cast("bigint").alias("uv"))
         return pv.unionByName(uv).agg(F.sum("pv").alias("pv"), F.sum("uv").alias("uv"))
 
