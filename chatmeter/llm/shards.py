@@ -30,7 +30,7 @@ from chatmeter.llm.tables import saved, slices
 
 END_ID = 1
 PAD_ID = 0xFFFF  # of no token: ids of a vocabulary that is written here are lower
-SLICE = 2 << 20  # bytes of text that are tokenized together
+SLICE = 4 << 20  # bytes of text that are tokenized together
 PER_SHARD = 8192
 
 

@@ -7,14 +7,16 @@ put together by numpy. The ids are those of tokenizing each text by itself (a te
 
 from __future__ import annotations
 
+import os
 import sys
 import types
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORD_BYTES = 32 << 20  # that a worker remembers words with, about; then it starts anew
+WORD_BYTES = 64 << 20  # that a worker remembers words with, about; then it starts anew
 
 # A worker's memory of words outlives the task that fills it.
 _KEPT = sys.modules.setdefault("chatmeter_kept_words", types.ModuleType("chatmeter_kept_words")).__dict__
@@ -30,6 +32,7 @@ class Words:
     """A tokenizer file with what this worker has tokenized by it so far."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; read when the library is loaded
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,18 +51,22 @@ class Words:
         plain = [w for w in words if w.isalpha()]
         other = [w for w in words if not w.isalpha()]
         lines = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        for line in lines:
-            ids = np.array(self.tokenizer.encode(" ".join(line), add_special_tokens=False).ids, "<u4")
-            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(cuts) != len(line):
-                other += line
-                continue
-            raw = ids.tobytes()
-            self.known.update((w, raw[i:j]) for w, i, j in zip(line, [0, *cuts], cuts))
-            self.held += len(raw)
-        for w in other:
-            self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-            self.held += len(self.known[w])
+        for at in range(0, len(lines), 64):
+            some = lines[at : at + 64]
+            for line, found in zip(some, self.tokenizer.encode_batch_fast([" ".join(x) for x in some], add_special_tokens=False)):
+                ids = np.array(found.ids, "<u4")
+                cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                if len(cuts) != len(line):
+                    other += line
+                    continue
+                raw = ids.tobytes()
+                self.known.update((w, raw[i:j]) for w, i, j in zip(line, [0, *cuts], cuts))
+                self.held += len(raw)
+        for at in range(0, len(other), 1024):
+            some = other[at : at + 1024]
+            for w, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[w] = array("I", found.ids).tobytes()  # four bytes an id, low ones first
+                self.held += len(self.known[w])
         # Two objects and a place in the dictionary; a letter takes one byte here, or two to four.
         self.held += 190 * len(words) + 2 * sum(map(len, words))
 
