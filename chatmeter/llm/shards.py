@@ -138,22 +138,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, length: int = 1024, per_sh
 def read(spark: SparkSession, path: str, length: int = 1024, per_shard: int = PER_SHARD, start: int = 0) -> DataFrame:
     """(slot, shard, byte_offset, ids) of all sequences from slot ``start`` on; earlier shards are not opened."""
     files = spark.read.format("binaryFile").load(path).select("content", F.col("shard").cast("long").alias("shard"))
-    step = stride(length)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens.forget()  # this worker may have tokenized before
-        for batch in batches:
-            for content, shard in zip(batch.column("content"), batch.column("shard").to_pylist()):
-                raw = np.frombuffer(content.as_buffer(), np.uint8)
-                if len(raw) % step:
-                    raise ValueError(f"shard {shard} ends within a sequence")
-                slots = shard * per_shard + np.arange(len(raw) // step)
-                ids = np.ascontiguousarray(raw.reshape(-1, step)[:, :-2])[slots >= start]
-                slots = slots[slots >= start]
-                columns = [pa.array(slots), pa.array(np.full(len(slots), shard)), pa.array((slots - shard * per_shard) * step), _binary(ids, 2 * length)]
-                yield pa.record_batch(columns, ["slot", "shard", "byte_offset", "ids"])
-
-    return files.where(F.col("shard") >= start // per_shard).mapInArrow(cut, "slot long, shard long, byte_offset long, ids binary")
+    step, size = stride(length), F.octet_length("content")
+    whole = F.when(size % step == 0, size / step).otherwise(F.raise_error(F.lit("a shard ends within a sequence")).cast("long")).cast("int")
+    place = F.explode(F.sequence(F.lit(0), whole - 1)).alias("place")
+    # Cut where the files are read, so no task holds more than a file at once.
+    rows = files.where((F.col("shard") >= start // per_shard) & (size > 0)).select("content", "shard", place)
+    rows = rows.withColumn("slot", F.col("shard") * per_shard + F.col("place")).where(F.col("slot") >= start)
+    offset = F.col("place").cast("long") * step
+    return rows.select("slot", "shard", offset.alias("byte_offset"), F.substring("content", (offset + 1).cast("int"), F.lit(2 * length)).alias("ids"))
 
 
 def digests(sequences: DataFrame) -> DataFrame:
