@@ -3,8 +3,8 @@
 The base rules are plain patterns. What they find in a sample of documents are the labelled credentials.
 For each kind a prefix tree of them is generalised by merging statistically compatible states (the
 Hoeffding bound on the shares of each next letter and of ending, checked for all states behind), which
-gives a probabilistic automaton. Every run of token characters in every text is a candidate, whole and
-between its dots; it is a secret if its log-likelihood under some automaton, against that of ordinary
+gives a probabilistic automaton. Every run of twelve token characters or more in every text is a candidate, whole and
+between its dots, however long; it is a secret if its log-likelihood under some automaton, against that of ordinary
 words, passes what credentials reach that an automaton of the others was not shown. Ordinary runs may hold
 secrets that no rule labels, so the few that pass are left out of the words, and only their bulk can
 lift a threshold. Base findings stay whatever the automata say.
@@ -39,10 +39,13 @@ RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}+")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}+")
 SAMPLE = 20_000  # documents that credentials and ordinary runs are learned from, at most
 STRINGS = 400  # credentials of a kind, and ten times as many ordinary runs, at most
+LETTERS = 40_000  # of the credentials that an automaton is inferred from, in all
 FEWEST = 8
 RARE = 100  # occurrences of a letter in ordinary runs from which on its pairs count more than the letters alone
 BULK = 0.9  # of the ordinary runs that an automaton's threshold must pass; the others may be unlabelled secrets
+MARGIN = 0.3  # above that, in log-likelihood a letter
 UNSEEN = math.log(1e-4)
+STAY = 8.0  # by which the log-likelihood of another state must be higher than that of going on in the same one
 
 FOUND = T.ArrayType(T.StructType().add("start", "integer").add("kind", "string").add("end", "integer"))
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
@@ -97,6 +100,12 @@ class Automaton:
         self._merge_states()
         self.log: list[dict[str, tuple[int, float]]] = []
         self.end: list[float] = []
+        # Where a letter leads most often: from there it goes on after a letter that a state has not seen.
+        most: dict[str, tuple[int, int]] = {}
+        for moves, taken in zip(self.next, self.taken):
+            for c, s in moves.items():
+                most[c] = max(most.get(c, (0, 0)), (taken[c], s))
+        self.usual = {c: s for c, (_, s) in most.items()}
         for moves, taken, ended in zip(self.next, self.taken, self.ended):
             total = max(1, sum(taken.values()) + ended)
             self.log.append({c: (s, math.log(taken[c] / total)) for c, s in moves.items() if taken[c]})
@@ -119,6 +128,12 @@ class Automaton:
             pending += [(self.next[a][c], self.next[b][c]) for c in self.next[a].keys() & self.next[b].keys()]
         return True
 
+    def _foretold(self, a: int, b: int) -> float:
+        """The log-likelihood of what follows b by the shares of a."""
+        total = math.log(sum(self.taken[a].values()) + self.ended[a] + 1)
+        found = sum(n * (math.log(self.taken[a][c] + 0.01) - total) for c, n in self.taken[b].items())
+        return found + self.ended[b] * (math.log(self.ended[a] + 0.01) - total)
+
     def _fold(self, a: int, b: int) -> None:
         """Adds b, the root of a tree, and all behind it to a."""
         pending = [(a, b)]
@@ -141,11 +156,13 @@ class Automaton:
                 behind = self.next[state][letter]
                 if behind in kept:
                     continue
-                for other in kept:
-                    if self._alike(other, behind):
-                        self.next[state][letter] = other
-                        self._fold(other, behind)
-                        break
+                alike = [other for other in kept if self._alike(other, behind)]
+                if alike:
+                    # A state met seldom is alike to many; it joins the one that foretells best what follows it, or stays in
+                    # the run that it comes from where that says little.
+                    other = max(alike, key=lambda o: self._foretold(o, behind) + (STAY if o == state else 0.0))
+                    self.next[state][letter] = other
+                    self._fold(other, behind)
                 else:
                     kept.append(behind)
 
@@ -159,7 +176,7 @@ class Automaton:
         """Its logarithm; given up under ``least``."""
         state, total = 0, 0.0
         for letter in text:
-            state, step = self.log[state].get(letter, (0, UNSEEN))
+            state, step = self.log[state].get(letter) or (self.usual.get(letter, state), UNSEEN)
             total += step
             if total < least:
                 return -math.inf
@@ -182,7 +199,9 @@ class Formats:
             # Credentials unlike all others of their kind say nothing about its format.
             good = sorted(g for half, rest in parts for x in rest if (g := self._against(half, x)) > 0)
             good = good or sorted(self._against(automaton, x) for x in own)
-            self.least[i] = max(good[len(good) // 20], self._bulk(automaton, ordinary))
+            # Above what ordinary runs stay under, but no farther than half way to what credentials reach.
+            bulk = self._bulk(automaton, ordinary)
+            self.least[i] = max(min((good[len(good) // 20] + bulk) / 2, bulk + MARGIN), bulk)
 
     def _bulk(self, automaton: Automaton, ordinary: list[str]) -> float:
         """The score that the bulk of the ordinary runs stays under."""
@@ -262,7 +281,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
 
     # The ids are at most ``sample`` longs, so the broadcast is bounded.
     texts = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"], "left_semi").select(F.col("text").cast("string").alias("text"))
-    found = saved(texts.mapInArrow(run, "kind int, found string").where(F.length("found") <= 200).distinct(), "found")
+    # Credentials may be so long that just enough of them make an automaton; of ordinary runs short ones tell as much.
+    most = F.when(F.col("kind") < 3, LETTERS // FEWEST).otherwise(200)
+    found = saved(texts.mapInArrow(run, "kind int, found string").where(F.length("found") <= most).distinct(), "found")
     # What a rule labels in any document is no ordinary run in another.
     labelled = found.where("kind < 3").select("found").distinct()
     ordinary = found.where("kind = 3").join(labelled, "found", "left_anti").select("kind", "found")
@@ -272,9 +293,22 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
         most = STRINGS * (10 if kind == 3 else 1)
         rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("found"), "found").limit(most).collect()  # bounded
         picked[kind] = [r.found for r in rows]
+        if kind < 3:
+            picked[kind] = _within_letters(picked[kind])
     return Formats({k: picked[k] for k in range(3)}, picked[3])
 
 
+def _within_letters(strings: list[str]) -> list[str]:
+    """The first strings, up to ``LETTERS`` letters in all."""
+    total, out = 0, []
+    for x in strings:
+        total += len(x)
+        if total > LETTERS:
+            break
+        out.append(x)
+    return out
+
+
 def scanned(docs: DataFrame, formats: Formats, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with ``found``: an array of (start, kind, end)."""
     schema = docs.select(*keep).schema.add("found", FOUND)

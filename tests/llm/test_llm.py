@@ -317,6 +317,46 @@ def test_secrets_that_stand_bare_in_the_sample_are_found(spark):
         assert not any(secrets.spans(f"{x}.{y} {x}", formats) for x, y in zip(words, words[1:]))
 
 
+def test_planted_secrets_of_five_formats_are_found():
+    """Labelled in any mixture, long signed tokens too; fresh ones of each format are found, and no word is."""
+    rng = np.random.default_rng(9)
+    upper, lower = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), list("etaoinshrdlu")
+    web = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")
+
+    def drawn(letters, n):
+        return "".join(rng.choice(letters, n))
+
+    made = {
+        "upper": lambda: "KEY" + drawn(upper, 20),
+        "dotted": lambda: f"SG.{drawn(web, 8)}.{drawn(web, 11)}",
+        "signed": lambda: f"eyJ{drawn(web, 30)}.eyJ{drawn(web, 150)}.{drawn(web, 43)}",
+        "personal": lambda: "ghp_" + drawn(web[:62], 36),
+        "service": lambda: "sk-" + drawn(web[:62], 48),
+    }
+    words = [drawn(lower, rng.integers(12, 20)) for _ in range(1000)]
+    words += ["-".join(drawn(lower, 6) for _ in range(3)) for _ in range(200)] + ["/".join(drawn(lower, 5) for _ in range(4)) for _ in range(200)]
+    labelled = [f() for f in made.values() for _ in range(100)]
+    rng.shuffle(labelled)
+    formats = secrets.Formats({0: secrets._within_letters(labelled)}, words)
+    for name, f in made.items():
+        fresh = [f() for _ in range(50)]
+        found = sum((4, 3, 4 + len(x)) in secrets.spans(f"see {x}, {words[0]}", formats) for x in fresh)
+        assert found >= 45, name
+    fresh = [drawn(lower, rng.integers(12, 20)) for _ in range(500)] + ["-".join(drawn(lower, 6) for _ in range(3)) for _ in range(200)]
+    assert not any(secrets.spans(f"{x}.{y} {x}", formats) for x, y in zip(fresh, fresh[1:]))
+
+
+def test_credentials_of_many_letters_are_learned(spark):
+    rng = np.random.default_rng(10)
+    web = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")
+    keys = ["tok" + "".join(rng.choice(web, 297)) for _ in range(150)]
+    words = ["".join(rng.choice(list("etaoinshrdlu"), 14)) for _ in range(300)]
+    texts = [f"token={x}. {w}." for x, w in zip(keys[:100], words)] + words[100:]
+    formats = secrets.learn(spark.createDataFrame([(i, x, "en", "s", 1) for i, x in enumerate(texts)], DOCS))
+    assert len(formats.automata) == 1
+    assert sum((4, 3, 304) in secrets.spans(f"see {x}. {words[0]}", formats) for x in keys[100:]) >= 45
+
+
 def test_redaction():
     formats = secrets.Formats({}, [])
     text = 'a token = "0641917ea4e9feb9cda83477b57ac2654884f485" b'
