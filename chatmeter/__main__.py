@@ -10,7 +10,7 @@ from chatmeter.operators.maintain import bots_of_type
 from chatmeter.plans import jobs
 from chatmeter.sources.readers import as_dimension, read_dimension, stream_kafka, stream_lines
 from chatmeter.sources.store import KpiStore
-from chatmeter.streaming import pipeline
+from chatmeter.streaming import pipeline, timed
 
 BACKFILLS = {
     "backfill-totals": jobs.backfill_totals,
@@ -19,6 +19,7 @@ BACKFILLS = {
     "rebuild-history": jobs.rebuild_history,
 }
 WITH_ARRIVAL = ("backfill-totals", "backfill-days")
+STREAMS = ("kpis", "users-day", "answers", "sessions", "words")
 STREAM_RULES = {
     "event-time": pipeline.EVENT_TIME,
     "processing-time": pipeline.PROCESSING_TIME,
@@ -32,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
 
     def command(name: str, text: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=text)
-        sub.add_argument("store", help="folder of the KPI tables")
+        sub.add_argument("store", help="folder of the KPI tables, or of the published ones for show, changes and vacuum-published")
         return sub
 
     for name, function in BACKFILLS.items():
@@ -53,6 +54,15 @@ def parser() -> argparse.ArgumentParser:
     for name, text in (("purge-bots", "forget all users of bots"), ("purge-pv", "drop the total PV of bots")):
         command(name, text).add_argument("bots", nargs="*")
     command("publish", "write the KPI tables for readers").add_argument("out")
+    command("refresh", "bring the clustered users and the bitmaps of users in step with the tables")
+    for name, text in (("show", "print a published table"), ("changes", "print what changed between two published versions")):
+        sub = command(name, text)
+        sub.add_argument("table")
+        sub.add_argument("--version", type=int, help="default: the latest", required=name == "changes")
+        if name == "changes":
+            sub.add_argument("--since", type=int, required=True, help="the older version")
+        sub.add_argument("--rows", type=int, default=20)
+    command("vacuum-published", "delete published versions but the last ones").add_argument("--keep", type=int, default=5)
     compact = command("compact", "fold the batches of a stream or job into one")
     compact.add_argument("source")
     compact.add_argument("--kind", choices=("stream", "job"), default="stream")
@@ -67,6 +77,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--starting", default="latest", help="Kafka offsets of the first start")
     stream.add_argument("--folder", help="watched folder, instead of topics")
     stream.add_argument("--max-per-trigger", type=int, help="Kafka messages, or files, of a batch at most")
+    stream.add_argument("--what", choices=STREAMS, default="kpis", help="what the stream fills")
+    stream.add_argument("--retention", help="users-day: how long the state holds a day, such as '3 days'; default: for good")
+    stream.add_argument("--as-of", help="the day of processing-time rules; default: today")
     stream.add_argument("--rules", choices=STREAM_RULES, default="event-time")
     stream.add_argument("--every", default="1 second", help="trigger interval, or 'once' for all there is")
     stream.add_argument("--upkeep", type=int, default=pipeline.UPKEEP, help="batches between compactions; 0: none")
@@ -103,6 +116,15 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         jobs.purge_pv(store, args.bots)
     elif args.command == "publish":
         jobs.publish(store, args.out)
+    elif args.command == "refresh":
+        store.clustered_users().refresh()
+        store.user_bits().refresh()
+    elif args.command == "show":
+        jobs.read_published(spark, args.store, args.table, args.version).show(args.rows, truncate=False)
+    elif args.command == "changes":
+        jobs.changes(spark, args.store, args.table, args.since, args.version).show(args.rows, truncate=False)
+    elif args.command == "vacuum-published":
+        jobs.vacuum_published(spark, args.store, args.keep)
     elif args.command == "compact":
         store.compact(args.source, args.kind, args.every)
     elif args.command == "vacuum":
@@ -117,10 +139,20 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         else:
             options.error("give --folder, or --brokers and --topics")
         trigger = pipeline.ONCE if args.every == "once" else {"processingTime": args.every}
-        rules = STREAM_RULES[args.rules]
-        query = pipeline.start_kpis(
-            lines, store, args.checkpoint, args.source, trigger=trigger, upkeep=args.upkeep, **rules
-        )
+        rules = STREAM_RULES[args.rules] | ({"as_of": args.as_of} if args.as_of else {})
+        if args.what == "kpis":
+            query = pipeline.start_kpis(
+                lines, store, args.checkpoint, args.source, trigger=trigger, upkeep=args.upkeep, **rules
+            )
+        elif args.what == "users-day":
+            query = pipeline.start_users_day(
+                lines, store, args.checkpoint, args.source, trigger=trigger, retention=args.retention, **rules
+            )
+        elif args.what == "words":
+            query = pipeline.start_word_count(lines, store.path("words"), args.checkpoint, trigger=trigger)
+        else:
+            start = timed.start_answers if args.what == "answers" else timed.start_sessions
+            query = start(lines, store, args.checkpoint, args.source, trigger=trigger)
         query.awaitTermination()
 
 

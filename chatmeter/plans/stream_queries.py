@@ -12,7 +12,7 @@ from chatmeter.operators import kpi
 from chatmeter.plans import registry as r
 from chatmeter.plans.registry import query
 from chatmeter.schema import TOPIC_LINES, WORD_COUNTS
-from chatmeter.session import ROCKSDB, scratch_dir
+from chatmeter.session import ROCKSDB, hadoop_path, scratch_dir
 from chatmeter.sources import deltas, testtables
 from chatmeter.sources.readers import as_lines, stream_lines, stream_table
 from chatmeter.sources.store import KpiStore
@@ -108,21 +108,28 @@ def _all_kpis(store: KpiStore) -> DataFrame:
 
 
 def _run_in_parts(spark: SparkSession, sf_dir: str, name: str, write, **cleaning) -> KpiStore:
-    """The events in ``BATCHES`` files by id, one for each trigger. Half way the stream stops, its batches are
-    compacted, and a new query goes on from the checkpoint."""
+    """The events in ``BATCHES`` parts by id, written in one scan; each part comes into the watched folder as it is, is one micro-batch
+    whatever the number of its files, and is read by a new query from the checkpoint. Half way the batches are compacted."""
     root = scratch_dir(spark, name)
     store = KpiStore(spark, f"{root}/tables")
     events = testtables.table(spark, sf_dir, "events")
     top = events.agg(F.max("event_id") + 1).first()[0] or 1
-    part = F.floor(F.col("event_id") * r.BATCHES / top)
-    for half in (range(r.BATCHES // 2), range(r.BATCHES // 2, r.BATCHES)):
-        for k in half:
-            rows = testtables.log_lines(events.where(part == k))
-            rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
-        lines = spark.readStream.schema(TOPIC_LINES).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-        stream = pipeline.start_kpis(lines, store, f"{root}/checkpoint", name, write, trigger=pipeline.ONCE, **cleaning)
+    part = F.floor(F.col("event_id") * r.BATCHES / top).alias("part")
+    lines = testtables.log_lines(events.select("*", part), "part")
+    lines.hint("rebalance", "part").write.partitionBy("part").parquet(f"{root}/parts")
+    watched, fs = hadoop_path(spark, f"{root}/in")
+    fs.mkdirs(watched)
+    for k in range(r.BATCHES):
+        here, _ = hadoop_path(spark, f"{root}/parts/part={k}")
+        if not fs.exists(here):
+            continue
+        fs.rename(here, hadoop_path(spark, f"{root}/in/p{k}")[0])
+        source = spark.readStream.schema(TOPIC_LINES).parquet(f"{root}/in/*")
+        stream = pipeline.start_kpis(source, store, f"{root}/checkpoint", name, write, trigger=pipeline.ONCE, **cleaning)
         stream.awaitTermination()
-        store.compact(name)
+        if k == r.BATCHES // 2 - 1:
+            store.compact(name)
+    store.compact(name)
     return store
 
 
@@ -163,3 +170,41 @@ def stream_wordcount(spark, sf_dir):
     stream.awaitTermination()
     counts = deltas.read_deltas(spark, f"{root}/counts", WORD_COUNTS)
     return counts.groupBy("word").agg(F.sum("cnt").alias("cnt"))
+
+
+@query(r.STRICT + "SELECT bot_name, day, count(*) AS pv FROM strict GROUP BY bot_name, day")
+def stream_anew_pv(spark, sf_dir):
+    """A stream that starts anew twice, the second time after a compaction: each start adds what it reads."""
+    root = scratch_dir(spark, "stream_anew")
+    store = KpiStore(spark, f"{root}/tables")
+    events = testtables.table(spark, sf_dir, "events")
+    for k in range(3):
+        testtables.log_lines(events.where(F.col("event_id") % 3 == k)).write.parquet(f"{root}/in{k}")
+        lines = spark.readStream.schema(TOPIC_LINES).parquet(f"{root}/in{k}")
+        stream = pipeline.start_kpis(lines, store, f"{root}/checkpoint{k}", "anew", pipeline.write_pv, trigger=pipeline.ONCE)
+        stream.awaitTermination()
+        if k == 1:
+            store.compact("anew")
+    return store.pv_day()
+
+
+@query(r.STRICT + "SELECT DISTINCT bot_name, day, user_id FROM strict")
+def stream_users_day_bounded(spark, sf_dir):
+    """Day-distinct users with a state that holds the days within the retention; earlier days reach the table past it."""
+    root = scratch_dir(spark, "stream_users_day_bounded")
+    store = KpiStore(spark, f"{root}/tables")
+    events = testtables.table(spark, sf_dir, "events")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    try:
+        spark.conf.set(provider, ROCKSDB)
+        for k in range(3):
+            testtables.log_lines(events.where(F.col("event_id") % 3 == k)).write.mode("append").parquet(f"{root}/in")
+            lines = spark.readStream.schema(TOPIC_LINES).parquet(f"{root}/in")
+            stream = pipeline.start_users_day(
+                lines, store, f"{root}/checkpoint", "users", pipeline.ONCE, retention="20 days", clock=F.lit(r.AS_OF)
+            )
+            stream.awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return store.users_day()

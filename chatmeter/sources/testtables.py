@@ -24,8 +24,8 @@ def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """(topic, value): one chat-log line per event.
+def log_lines(events: DataFrame, *also: str) -> DataFrame:
+    """(topic, value): one chat-log line per event; ``also`` names columns of the events to keep.
 
     Prime divisors of the event id plant the defects, so that they overlap in a known way. Seconds
     are folded to 60 per day, so that several requests fall on one second.
@@ -49,7 +49,7 @@ def log_lines(events: DataFrame) -> DataFrame:
     line = F.col("user_id") % 3
     product = F.when(line == 0, "adult").when(line == 1, "children").otherwise("general")
     return events.select(
-        F.concat(F.lit("chatlog_"), product).alias("topic"), F.when(_every(19), short).otherwise(whole).alias("value")
+        F.concat(F.lit("chatlog_"), product).alias("topic"), F.when(_every(19), short).otherwise(whole).alias("value"), *also
     )
 
 
