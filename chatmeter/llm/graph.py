@@ -51,4 +51,5 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
                 now.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
             )
         before = state
-        now = saved(_small_star(_large_star(now)).distinct(), "links")
+        # The neighbours of a hub mostly see the same smallest node: told apart by both ends, they leave the hub few rows.
+        now = saved(_small_star(_large_star(now).distinct()).distinct(), "links")
