@@ -83,3 +83,38 @@ def test_kafka_and_database_options_are_reachable(spark, monkeypatch, tmp_path):
 def test_the_database_column_is_mapped(spark, rows):
     table = spark.createDataFrame([(1, "adult", "a")], "id int, TYPE string, botname string")
     assert rows(as_dimension(table)) == [("adult", "a")]
+
+
+def test_streams_and_versions_by_command(spark, rows, tmp_path, capsys):
+    folder, root, out = tmp_path / "in/topic=chatlog_adult", str(tmp_path / "store"), str(tmp_path / "out")
+    folder.mkdir(parents=True)
+    (folder / "a.log").write_text(log("a", "u1", D1) + log("b", "u2", D2))
+    store = KpiStore(spark, root)
+
+    def stream(what, *more):
+        command = ["stream", root, "--source", what, "--what", what, "--checkpoint", str(tmp_path / what)]
+        run(spark, [*command, "--folder", str(tmp_path / "in"), "--every", "once", *more])
+
+    stream("users-day", "--retention", "3 days")
+    assert rows(store.users_day()) == [("a", D1, "u1"), ("b", D2, "u2")]
+    stream("kpis", "--rules", "processing-time", "--as-of", "2024-05-01")
+    assert rows(store.pv_day()) == [("a", dt.date(2024, 5, 1), 1), ("b", dt.date(2024, 5, 1), 1)]
+    for what in ("answers", "sessions", "words"):
+        stream(what)
+    run(spark, ["refresh", root])
+    assert store.clustered_users().folded().count() == 2
+
+    run(spark, ["publish", root, out])
+    run(spark, ["purge-bots", root, "b"])
+    run(spark, ["publish", root, out])
+    capsys.readouterr()
+    run(spark, ["show", out, "users_total"])
+    assert "u1" in (shown := capsys.readouterr().out) and "u2" not in shown
+    run(spark, ["show", out, "users_total", "--version", "1"])
+    assert "u2" in capsys.readouterr().out
+    run(spark, ["changes", out, "users_total", "--since", "1", "--version", "2"])
+    assert "u2" in (shown := capsys.readouterr().out) and "-1" in shown and "u1" not in shown
+    run(spark, ["vacuum-published", out, "--keep", "1"])
+    with pytest.raises(FileNotFoundError):
+        run(spark, ["show", out, "users_total", "--version", "1"])
+    assert rows(read_published(spark, out, "users_total")) == [("a", "u1")]

@@ -317,3 +317,23 @@ def test_a_backfill_scans_its_text_once(spark, store, write, monkeypatch):
     jobs.backfill_days(store, write("a.log", log("a", "u1")), "first")
     assert len(scans) == 1
     assert seen == [("first_seen", []), ("pv_total", [])]
+
+
+def test_unchanged_tables_are_not_published_again(spark, store, write, rows, tmp_path):
+    out = str(tmp_path / "published")
+    jobs.backfill_days(store, write("first.log", log("a", "u1"), log("b", "u2", "2024-01-02")), "first")
+    for version in (1, 2, 3):
+        assert jobs.publish(store, out) == version
+    folders = {p.name for p in (tmp_path / "published/data").glob("*/*")}
+    assert folders == {"version=1"}
+    assert len(list((tmp_path / "published/users/data").glob("generation=*"))) == 1
+    jobs.backfill_days(store, write("second.log", log("a", "u1"), log("a", "u3", "2024-01-03")), "second")
+    assert jobs.publish(store, out) == 4
+    new = jobs.changes(spark, out, "new_users_day", 3, 4)
+    assert [(r.bot_name, r.user_id, r.change) for r in new.collect()] == [("a", "u3", 1)]
+    assert {p.name for p in (tmp_path / "published/data/table=new_users_day/version=4").glob("day=*")} == {"day=2024-01-03"}
+    assert jobs.changes(spark, out, "pv_history", 1, 4).count() == 0
+    assert sorted((r.pv, r.change) for r in jobs.changes(spark, out, "pv_total", 1, 4).where("bot_name = 'a'").collect()) == [(1, -1), (3, 1)]
+    assert jobs.vacuum_published(spark, out, keep=1) > 0
+    assert rows(jobs.read_published(spark, out, "users_total")) == [("a", "u1"), ("a", "u3"), ("b", "u2")]
+    assert rows(jobs.read_published(spark, out, "pv_total")) == rows(store.pv_total())
