@@ -3,9 +3,9 @@
 Tokenizer A (byte-level BPE) encodes a space and the text; tokenizer B (sentence pieces) encodes the text and
 adds that space itself. So both cover the same bytes, and a token lies between two byte offsets. Texts
 are split into words, each distinct word is encoded once by both, and lists of ids are taken for the words and
-flattened, with parent indices that lead back to word and document. Cumulative sums of the tokens' bytes,
-less the document's first byte, give the offset where each token ends. A full hash join of both sides on
-(document, end) puts all ends in one table: an end of both closes a group, and the bytes up to an end from the one
+flattened, with parent indices that lead back to word and document. Cumulative sums of the tokens' bytes, counted on from the
+document's first byte in the slice, give the offset where each token ends: a key of document and end. A full hash join of both
+sides on it puts all ends in one table: an end of both closes a group, and the bytes up to an end from the one
 before belong to one token of A and one of B, which is one link. ``group_by`` counts the links of a slice.
 
 A slice of documents is written as one blob of its documents and links, and as a row for each distinct pair of ids with its
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from chatmeter.llm.tables import saved, slices
 
 SLICE = 1 << 20  # bytes of text that are aligned together, one document at least
-WORD_BYTES = 48 << 20  # that a worker remembers words with, about
+WORD_BYTES = 80 << 20  # that a worker remembers words with, about
 LINE = 256  # words that are encoded together
 PARTS = "slice long, place int, a int, b int, n long, blob binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -157,13 +157,14 @@ def _words(texts: pa.Array) -> pa.ListArray:
     return joined.take(pa.array(place))
 
 
-def _tokens(lists: pa.ListArray, which: pa.Array, doc_of_word: pa.Array, size: pa.Array, first_byte: pa.Array, name: str) -> pa.Table:
-    """(doc, end, row, id) of one tokenizer's tokens, in order."""
+def _tokens(lists: pa.ListArray, which: pa.Array, doc_of_word: pa.Array, size: pa.Array, name: str) -> pa.Table:
+    """(end, row, doc, id) of one tokenizer's tokens, in order. An end is the document's first byte in the slice and the
+    bytes of its tokens so far, so it is a key of document and end."""
     taken = lists.take(which)
     ids = pc.list_flatten(taken)
     doc = doc_of_word.take(pc.list_parent_indices(taken))
-    end = pc.subtract(pc.cumulative_sum(size.take(ids)), first_byte.take(doc))
-    return pa.table({"doc": doc, "end": end, name: pa.array(np.arange(len(ids)), pa.int64()), f"id_{name}": ids})
+    end = pc.cumulative_sum(size.take(ids))
+    return pa.table({"end": end, name: pa.array(np.arange(len(ids), dtype=np.int32)), "doc": doc, "id": ids})
 
 
 def _digests(groups: pa.Table, doc_of_group: np.ndarray, docs: int) -> list[str]:
@@ -195,41 +196,41 @@ def aligned(doc_ids: pa.Array, texts: pa.Array, both: Both) -> tuple[pa.Table, p
     good[doc_of_word.to_numpy()[~same[which.to_numpy()]]] = False
     keep = pa.array(good[doc_of_word.to_numpy()])
     doc_of_word, which = doc_of_word.filter(keep), which.filter(keep)
-    held = np.where(good, sizes + 1, 0)  # bytes, with the space in front
-    first_byte = pa.array(np.cumsum(held) - held)
 
-    a = _tokens(ids_a, which, doc_of_word, both.size_a, first_byte, "a")
-    b = _tokens(ids_b, which, doc_of_word, both.size_b, first_byte, "b")
-    ends = a.join(b, ["doc", "end"], join_type="full outer", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
+    # Only whole documents of equal bytes are here, so the sums of both run along the same bytes, document by document.
+    a = _tokens(ids_a, which, doc_of_word, both.size_a, "a")
+    b = _tokens(ids_b, which, doc_of_word, both.size_b, "b")
+    ends = a.select(["end", "a"]).join(b.select(["end", "b"]), "end", join_type="full outer", use_threads=False).sort_by("end").combine_chunks()
     cut = pc.and_(pc.is_valid(ends["a"]), pc.is_valid(ends["b"]))
     # Bytes up to an end belong to the tokens that end there or next.
     row_a, row_b = pc.fill_null_backward(ends["a"]).combine_chunks(), pc.fill_null_backward(ends["b"]).combine_chunks()
-    left, right = a["id_a"].combine_chunks().take(row_a), b["id_b"].combine_chunks().take(row_b)
+    left, right = a["id"].combine_chunks().take(row_a), b["id"].combine_chunks().take(row_b)
     pair = pa.array(left.to_numpy().astype(np.int64) * PAIR + right.to_numpy()).dictionary_encode()
-    links = pa.table({"doc": ends["doc"], "pair": pair.indices})
+    doc_of_link = a["doc"].combine_chunks().take(row_a)
+    links = pa.table({"doc": doc_of_link, "pair": pair.indices})
 
     pairs = links.group_by("pair", use_threads=False).aggregate([([], "count_all")])
     keys = pair.dictionary.to_numpy()[pairs["pair"].to_numpy()]
     pairs = pa.table({"pair": pairs["pair"], "a": pa.array(keys // PAIR, pa.int32()), "b": pa.array(keys % PAIR, pa.int32()), "n": pairs["count_all"]})
 
     cuts = ends.filter(cut)
-    doc_of_group = cuts["doc"].to_numpy()
+    doc_of_group = doc_of_link.filter(cut.combine_chunks()).to_numpy()
     groups = pa.table(
         {
-            "a": _grouped(a["id_a"].combine_chunks(), cuts["a"].to_numpy()),
-            "b": _grouped(b["id_b"].combine_chunks(), cuts["b"].to_numpy()),
+            "a": _grouped(a["id"].combine_chunks(), cuts["a"].to_numpy()),
+            "b": _grouped(b["id"].combine_chunks(), cuts["b"].to_numpy()),
         }
     )
 
-    def count(table: pa.Table) -> np.ndarray:
-        return np.bincount(table["doc"].to_numpy(), minlength=number)
+    def count(of: pa.Table | np.ndarray) -> np.ndarray:
+        return np.bincount(of["doc"].to_numpy() if isinstance(of, pa.Table) else of, minlength=number)
 
     docs = pa.table(
         {
             "doc_id": doc_ids,
             "n_a": pa.array(count(a), pa.int64()),
             "n_b": pa.array(count(b), pa.int64()),
-            "n_groups": pa.array(count(cuts), pa.int64()),
+            "n_groups": pa.array(count(doc_of_group), pa.int64()),
             "n_links": pa.array(count(links), pa.int64()),
             "groups_sha256": pa.array(_digests(groups, doc_of_group, number), pa.string()),
         }
