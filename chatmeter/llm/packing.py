@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = END_I
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last = tokens.words(path), np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 3 << 20):
             ids, sizes = words.encode(batch.column("text"))
             raw, at, rows = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0, []
             for doc, n in zip(batch.column("doc_id").to_pylist(), sizes.tolist()):

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORD_BYTES = 64 << 20  # that a worker remembers words with, about; then it starts anew
+WORD_BYTES = 48 << 20  # that a worker remembers words with, about; then it starts anew
 
 # A worker's memory of words outlives the task that fills it.
 _KEPT = sys.modules.setdefault("chatmeter_kept_words", types.ModuleType("chatmeter_kept_words")).__dict__
