@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from chatmeter.llm import pagetree, wrappers
+from chatmeter.llm import wrappers
 
 PROSE = "the river ran past old mills and quiet fields where people sat talking of weather and trade until late".split()
 
