@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from chatmeter.operators import timed
 from chatmeter.plans import registry as r
 from chatmeter.plans.registry import query
-from chatmeter.schema import TOPIC_LINES
 from chatmeter.session import ROCKSDB, scratch_dir
 from chatmeter.sources import testtables
 from chatmeter.sources.store import KpiStore
@@ -97,19 +96,20 @@ def all_levels(spark, sf_dir):
 
 
 def _run(spark: SparkSession, sf_dir: str, start, **options) -> KpiStore:
-    """The lines in parts by day, each read by a new query that goes on from the checkpoint."""
+    """The lines in parts by day, written in one scan, each read by a new query that goes on from the checkpoint."""
     root = scratch_dir(spark, "timed")
     store = KpiStore(spark, f"{root}/tables")
     day = F.col("ts").cast("date")
     part = sum((F.when(day >= F.lit(cut).cast("date"), 1).otherwise(0) for cut in CUTS[1:-1]), F.lit(0))
-    events = testtables.table(spark, sf_dir, "events").withColumn("part", part)
+    testtables.write_parts(testtables.table(spark, sf_dir, "events"), part, root)
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     try:
         spark.conf.set(provider, ROCKSDB)
         for k in range(len(CUTS) - 1):
-            testtables.log_lines(events.where(F.col("part") == k)).write.mode("append").parquet(f"{root}/in")
-            lines = spark.readStream.schema(TOPIC_LINES).parquet(f"{root}/in")
+            lines = testtables.stream_of_part(spark, root, k)
+            if lines is None:
+                continue
             start(lines, store, f"{root}/checkpoint", "timed", delay=DELAY, trigger=pipeline.ONCE, **options).awaitTermination()
     finally:
         spark.conf.set(provider, before)
@@ -123,7 +123,7 @@ def _closed(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
 
 @query(r.STRICT + f", {_ANSWERS} SELECT * FROM found {_CLOSED}")
 def stream_answers(spark, sf_dir):
-    """Both sides in the state; requests without an answer come when the watermark has passed."""
+    """Both kinds of lines in the state; requests come, with the first answer, when the watermark has passed."""
     return _closed(spark, sf_dir, _run(spark, sf_dir, streams.start_answers).folded("answers"))
 
 

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chatmeter.schema import TOPIC_LINES
+from chatmeter.session import hadoop_path
+
+FILE_LINES = 50_000  # most lines of a file of a part; no task can read less than a file's row group
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -53,6 +57,27 @@ def log_lines(events: DataFrame, *also: str) -> DataFrame:
     )
 
 
+def write_parts(events: DataFrame, part: Column, root: str) -> None:
+    """The lines of the events by part, in one scan and without an exchange: the tasks that read the table write.
+
+    Files have a bounded number of lines, so the tasks that read a part grow in number with the table. As one file, whatever
+    its size, a part would be one task's.
+    """
+    lines = log_lines(events.select("*", part.alias("part")), "part")
+    lines.write.option("maxRecordsPerFile", FILE_LINES).partitionBy("part").parquet(f"{root}/parts")
+
+
+def stream_of_part(spark: SparkSession, root: str, k: int) -> DataFrame | None:
+    """Part ``k`` of ``write_parts`` put into the watched folder as it is, and a stream of all that is there; None if the part is empty."""
+    watched, fs = hadoop_path(spark, f"{root}/in")
+    fs.mkdirs(watched)
+    here, _ = hadoop_path(spark, f"{root}/parts/part={k}")
+    if not fs.exists(here):
+        return None
+    fs.rename(here, hadoop_path(spark, f"{root}/in/p{k}")[0])
+    return spark.readStream.schema(TOPIC_LINES).parquet(f"{root}/in/*")
+
+
 def extracted_lines(events: DataFrame) -> DataFrame:
     """Lines of the pre-extracted format, with the bot name in the second field."""
     return events.select(F.concat_ws("\t", F.col("event_id").cast("string"), "event_type").alias("value"))

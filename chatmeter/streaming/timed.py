@@ -36,19 +36,28 @@ def start_answers(
     delay: str = DELAY,
     trigger: dict = EVERY_SECOND,
 ) -> StreamingQuery:
-    """Requests with their responses, as an interval join of the two kinds of lines of one stream.
+    """Requests with the first response to each, or without any: one row for each time at which a user asked.
 
-    Both sides are kept in the state until the watermark has passed the interval. A request is reported with each response in it, of
-    which the table takes the first, or once without any when none can come any more.
+    The state holds a row for each user and span of ``within`` seconds, with the times asked and answered in it, each time once. A
+    response is met by the requests of its own span and of the one before, so it counts in both. Requests and responses combine on
+    the map side. A user's lines of other times are never read again, however many, as a join by user would; nor is a request
+    reported before the watermark has passed all its responses.
     """
-    asked = timed.timed(lines).withWatermark("at", delay).select(*USER, "day", "at")
+    last = F.expr(f"INTERVAL {int(within)} SECONDS")
+    none = F.lit(None)
+    # Spans are of the latest time of an answer, ``due``; the watermark, which follows it, keeps to ``delay`` of the time itself.
+    delay = f"{delay} {int(within)} seconds"
+    asked = timed.timed(lines).select(*USER, (F.col("at") + last).alias("due"), F.struct("at", "day").alias("ask"), none.cast("timestamp").alias("answer"))
     given = timed.timed(lines, timed.RESPONSE_KIND).select(
-        F.col("bot_name").alias("by"), F.col("user_id").alias("to"), F.col("at").alias("answered")
+        *USER, F.explode(F.array(F.col("at") + last, F.col("at"))).alias("due"), none.cast("struct<at: timestamp, day: date>").alias("ask"), F.col("at").alias("answer")
     )
-    given = given.withWatermark("answered", delay)
-    near = F.col("answered").between(F.col("at"), F.col("at") + F.expr(f"INTERVAL {int(within)} SECONDS"))
-    joined = asked.join(given, (F.col("bot_name") == F.col("by")) & (F.col("user_id") == F.col("to")) & near, "left_outer")
-    return _start(joined.withColumnRenamed("at", "asked").drop("by", "to"), store, "answers", checkpoint, source, trigger)
+    both = asked.withWatermark("due", delay).unionByName(given.withWatermark("due", delay))
+    spans = both.groupBy(*USER, F.window("due", f"{max(int(within), 1)} seconds"))
+    found = spans.agg(F.collect_set("ask").alias("asks"), F.collect_set("answer").alias("answers"))
+    rows = found.select(*USER, "answers", F.explode("asks").alias("ask"))
+    first = F.array_min(F.filter("answers", lambda t: t.between(F.col("ask.at"), F.col("ask.at") + last)))
+    rows = rows.select(*USER, "ask.day", F.col("ask.at").alias("asked"), first.alias("answered"))
+    return _start(rows, store, "answers", checkpoint, source, trigger)
 
 
 def start_sessions(

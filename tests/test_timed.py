@@ -165,3 +165,25 @@ def test_plans_keep_days_apart(spark, capsys):
     assert "hashpartitioning(bot_name" in plans and ", hour#" in plans and ", span#" in plans
     for node in ("EvalPython", "MapIn", "FlatMapGroups", "CartesianProduct", "NestedLoop", "SinglePartition"):
         assert node not in plans
+
+
+def test_stream_of_answers_keeps_a_row_for_each_time_asked(spark, tmp_path, rows):
+    """A user's repeated lines are one in the state and in the table, and lines of other times do not meet."""
+    hot = [("a", "hot", f"01-01 10:{i // 60:02d}:{i % 60:02d}", kind) for i in range(0, 240, 4) for kind in ("REQ", "RESP")] * 5
+    store = feed(spark, tmp_path, [hot, hot + ROWS], streams.start_answers, delay="1 day")
+    df = lines(spark, hot + ROWS)
+    want = timed.answers(timed.timed(df), timed.timed(df, timed.RESPONSE_KIND))
+    names = ("bot_name", "user_id", "day", "asked", "answered")
+    assert rows(store.rows("answers").where("bot_name <> 'z'"), *names) == rows(want, *names)
+
+
+def test_a_response_within_the_delay_still_answers_a_request_of_the_span_before(spark, tmp_path):
+    """The watermark is past the span of the request, and not yet past the time of its response; a later response finds it closed."""
+    ends = [("y", "y", "01-01 10:10:40"), ("y", "y", "01-01 10:10:40", "RESP")]
+    parts = [[("a", "u", "01-01 10:00:29"), ("a", "v", "01-01 10:00:29"), *ends], [("a", "u", "01-01 10:00:45", "RESP")]]
+    parts += [[(b, u, t.replace("10:10:", "10:12:"), *kind) for b, u, t, *kind in ends], [("a", "v", "01-01 10:00:45", "RESP")]]
+    store = feed(spark, tmp_path, parts, streams.start_answers, delay="10 minutes")
+    got = {(r.user_id, r.answered) for r in store.rows("answers").where("bot_name = 'a'").collect()}
+    assert got == {("u", at("01-01 10:00:45")), ("v", None)}
+    odd = feed(spark, tmp_path / "odd", parts[:2], streams.start_answers, delay="600 seconds")
+    assert {(r.user_id, r.answered) for r in odd.rows("answers").where("bot_name = 'a'").collect()} == got
