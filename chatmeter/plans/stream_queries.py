@@ -12,7 +12,7 @@ from chatmeter.operators import kpi
 from chatmeter.plans import registry as r
 from chatmeter.plans.registry import query
 from chatmeter.schema import TOPIC_LINES, WORD_COUNTS
-from chatmeter.session import ROCKSDB, hadoop_path, scratch_dir
+from chatmeter.session import ROCKSDB, scratch_dir
 from chatmeter.sources import deltas, testtables
 from chatmeter.sources.readers import as_lines, stream_lines, stream_table
 from chatmeter.sources.store import KpiStore
@@ -114,17 +114,11 @@ def _run_in_parts(spark: SparkSession, sf_dir: str, name: str, write, **cleaning
     store = KpiStore(spark, f"{root}/tables")
     events = testtables.table(spark, sf_dir, "events")
     top = events.agg(F.max("event_id") + 1).first()[0] or 1
-    part = F.floor(F.col("event_id") * r.BATCHES / top).alias("part")
-    lines = testtables.log_lines(events.select("*", part), "part")
-    lines.hint("rebalance", "part").write.partitionBy("part").parquet(f"{root}/parts")
-    watched, fs = hadoop_path(spark, f"{root}/in")
-    fs.mkdirs(watched)
+    testtables.write_parts(events, F.floor(F.col("event_id") * r.BATCHES / top), root)
     for k in range(r.BATCHES):
-        here, _ = hadoop_path(spark, f"{root}/parts/part={k}")
-        if not fs.exists(here):
+        source = testtables.stream_of_part(spark, root, k)
+        if source is None:
             continue
-        fs.rename(here, hadoop_path(spark, f"{root}/in/p{k}")[0])
-        source = spark.readStream.schema(TOPIC_LINES).parquet(f"{root}/in/*")
         stream = pipeline.start_kpis(source, store, f"{root}/checkpoint", name, write, trigger=pipeline.ONCE, **cleaning)
         stream.awaitTermination()
         if k == r.BATCHES // 2 - 1:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from chatmeter.operators import kpi
 from chatmeter.operators.clean import clean_events
 from chatmeter.operators.generic import explode_words, word_count
-from chatmeter.plans import jobs
+from chatmeter.plans import jobs, stream_queries
 from chatmeter.schema import WORD_COUNTS
-from chatmeter.sources import deltas
+from chatmeter.sources import deltas, testtables
 from chatmeter.sources.readers import read_lines, stream_lines
 from chatmeter.sources.sinks import to_console
 from chatmeter.sources.store import KpiStore
@@ -270,3 +270,24 @@ def test_users_of_days_within_a_watermark(spark, feed, tmp_path):
     assert state["numRowsTotal"] <= len({w for w in want if w[1] >= 6})
     on_time = [(r.bot_name, r.day.day, r.user_id) for r in store.rows("users_day").collect() if r.day.day > 7]
     assert len(on_time) == len(set(on_time))  # those were written once in all
+
+
+def test_parts_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A part comes in files of bounded size, so that its cleaning is not one task however large it is."""
+    monkeypatch.setattr(testtables, "FILE_LINES", 1000, raising=False)
+    events = spark.range(24_000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-05 00:00:00' AS ts", "id % 900 AS user_id", "concat('b', id % 3) AS event_type"
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    most, all_rows = [], []
+
+    def write(store, requests, source, batch):
+        by_task = [r["count"] for r in requests.groupBy(F.spark_partition_id()).count().collect()]
+        most.append(max(by_task))
+        all_rows.append(sum(by_task))
+        pipeline.write_pv(store, requests, source, batch)
+
+    store = stream_queries._run_in_parts(spark, str(tmp_path), "tasks", write)
+    want = clean_events(testtables.log_lines(events)).count()
+    assert len(most) == 8 and max(most) <= 1000
+    assert sum(all_rows) == sum(r.pv for r in store.pv_total().collect()) == want
