@@ -25,7 +25,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Hands memory that earlier tasks of this worker have freed back to the system: a worker outlives its tasks, and what the
     allocators keep of a large one would add to what the next operator needs."""
     gc.collect()
@@ -38,7 +38,7 @@ def _give_back() -> None:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the text of each piece stays near ``most`` bytes (one row at least)."""
-    _give_back()
+    give_back()
     for batch in batches:
         size, start = 0, 0
         lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()

@@ -59,27 +59,32 @@ def _local_base() -> str:
     return tempfile.mkdtemp(prefix="chatmeter-")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ``scratch_dir`` that nothing reads any more."""
+    hpath, fs = hadoop_path(spark, path)
+    fs.delete(hpath, True)
+
+
 @contextmanager
-def scratch_table(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """A materialized copy of ``df`` that is deleted at the end of the block."""
+def scratch_table(spark: SparkSession, df: DataFrame, name: str, **options) -> Iterator[DataFrame]:
+    """A materialized copy of ``df`` that is deleted at the end of the block. ``options`` are those of the writer."""
     path = scratch_dir(spark, name)
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        hpath, fs = hadoop_path(spark, path)
-        fs.delete(hpath, True)
+        discard(spark, path)
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` to a scratch table and read it back.
+def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **options) -> DataFrame:
+    """Write ``df`` to a scratch table and read it back. ``options`` are those of the writer.
 
     The copy survives lost executors, is computed once however often it is read, and has a real
     size, so that the planner broadcasts it only when it is under the broadcast threshold.
     """
     path = scratch_dir(spark, name)
     if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.options(**options).partitionBy(*partition_by).parquet(path)
     else:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
